@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chat_format, packing
+from lodestrata.llm import chat_format, packing, secret_scan
 from lodestrata.llm.common import read
 
 
@@ -28,14 +28,55 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(items)
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    base = [r.kind for r in secret_scan.BASE]
+    spans = F.col("secret_spans")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in base]
+    of_base = secret_scan.spans_text(F.filter(spans, lambda x: x["kind"].isin(base)))
+    return secret_scan.scan(docs).select("doc_id", *counts, F.sha2(of_base, 256).alias("base_sha256"), secret_scan.spans_text(spans).alias("spans"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op7_secret_scan": op7_secret_scan,
 }
 
 _RENDERED = r"12 + length(coalesce(role, '')) + 1 + length(regexp_replace(coalesce(text, ''), '<(\\*)\|', '<\\\1|', 'g')) + 11"
 
+
+
+def _secret_sql() -> str:
+    """Positions from the gaps between matches and the matches themselves, for each rule."""
+    q = lambda x: "'" + x.replace("'", "''") + "'"
+    found, lists = [], []
+    for k, r in enumerate(secret_scan.RULES):
+        any_case = ", 'i'" if r.any_case else ""
+        found += [
+            f"regexp_extract_all(t, {q(r.regex)}, 0{any_case}) AS m{k}", f"regexp_extract_all(t, {q(r.regex)}, {r.group}{any_case}) AS v{k}",
+            f"regexp_split_to_array(t, {q(r.regex)}{any_case}) AS g{k}",
+        ]
+        before = f"list_sum(list_transform(g{k}[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m{k}[1:i - 1], lambda x: length(x))), 0)"
+        lists.append(
+            f"list_transform(list_filter(range(1, len(m{k}) + 1), lambda i: length(v{k}[i]) >= {r.least}), "
+            f"lambda i: struct_pack(s := ({before})::BIGINT, r := {k}, e := ({before} + length(m{k}[i]))::BIGINT, kind := {q(r.kind)}))"
+        )
+    text = "list_aggregate(list_transform({}, lambda x: x.kind || ':' || x.s || ':' || x.e), 'string_agg', ',')"
+    of_base = f"list_filter(spans, lambda x: x.r < {len(secret_scan.BASE)})"
+    counts = "".join(f"len(list_filter(spans, lambda x: x.r = {k}))::BIGINT AS n_{r.kind}, " for k, r in enumerate(secret_scan.BASE))
+    return f"""
+        WITH f AS (SELECT doc_id, {", ".join(found)} FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+        s AS (SELECT doc_id, list_sort(flatten([{", ".join(lists)}])) AS spans FROM f)
+        SELECT doc_id, {counts} sha256(coalesce({text.format(of_base)}, '')) AS base_sha256, coalesce({text.format("spans")}, '') AS spans FROM s"""
+
+
 ORACLE_SQL = {
+    "op7_secret_scan": _secret_sql(),
     "op1_chat_format": rf"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
