@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chat_format, packing, secret_scan
+from lodestrata.llm import chat_format, license_scan, packing, secret_scan, topk_search
 from lodestrata.llm.common import read
 
 
@@ -28,6 +28,15 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(items)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents")).drop("detections")
+
+
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk_search.quantize(read(spark, sf_dir, "embeddings"), 256)
+    return topk_search.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     base = [r.kind for r in secret_scan.BASE]
@@ -44,6 +53,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_license_scan": op5_license_scan,
+    "op6_exact_topk": op6_exact_topk,
     "op7_secret_scan": op7_secret_scan,
 }
 
@@ -76,6 +87,15 @@ def _secret_sql() -> str:
 
 
 ORACLE_SQL = {
+    "op6_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q, embedding AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op7_secret_scan": _secret_sql(),
     "op1_chat_format": rf"""
         WITH t AS (
