@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chat_format, license_scan, packing, secret_scan, topk_search
+from lodestrata.llm import chat_format, license_scan, packing, quality_knn, secret_scan, topk_search
 from lodestrata.llm.common import read
 
 
@@ -50,12 +50,19 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs).select("doc_id", *counts, F.sha2(of_base, 256).alias("base_sha256"), secret_scan.spans_text(spans).alias("spans"))
 
 
+def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_knn.score(docs, quality_knn.fit(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality_knn.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_license_scan": op5_license_scan,
     "op6_exact_topk": op6_exact_topk,
     "op7_secret_scan": op7_secret_scan,
+    "op8_quality_knn": op8_quality_knn,
 }
 
 _RENDERED = r"12 + length(coalesce(role, '')) + 1 + length(regexp_replace(coalesce(text, ''), '<(\\*)\|', '<\\\1|', 'g')) + 11"
