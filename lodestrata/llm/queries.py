@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chat_format, license_scan, packing, quality_knn, secret_scan, topk_search
+from lodestrata.llm import chat_format, license_scan, near_dedup, packing, quality_knn, secret_scan, topk_search
 from lodestrata.llm.common import read
 
 
@@ -56,6 +56,10 @@ def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality_knn.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op4_best_fit_packing": op4_best_fit_packing,
@@ -63,6 +67,7 @@ QUERIES = {
     "op6_exact_topk": op6_exact_topk,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_knn": op8_quality_knn,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 _RENDERED = r"12 + length(coalesce(role, '')) + 1 + length(regexp_replace(coalesce(text, ''), '<(\\*)\|', '<\\\1|', 'g')) + 11"
