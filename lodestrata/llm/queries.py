@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chat_format, license_scan, near_dedup, packing, quality_knn, secret_scan, topk_search
+from lodestrata.llm import chat_format, fingerprints, license_scan, near_dedup, packing, quality_knn, secret_scan, topk_search
 from lodestrata.llm.common import read
 
 
@@ -60,6 +60,18 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fingerprints.compare_versions(read(spark, sf_dir, "documents"))
+
+    def near(other: str) -> Column:
+        return fingerprints.likeness(F.col("text_paragraphs"), F.col(f"{other}_paragraphs"), F.size(f"{other}_difference"))
+
+    return out.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", near("edited_text").alias("near_edited"), near("next_text").alias("near_next"),
+    )
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op4_best_fit_packing": op4_best_fit_packing,
@@ -68,6 +80,7 @@ QUERIES = {
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_knn": op8_quality_knn,
     "op9_near_dedup": op9_near_dedup,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 _RENDERED = r"12 + length(coalesce(role, '')) + 1 + length(regexp_replace(coalesce(text, ''), '<(\\*)\|', '<\\\1|', 'g')) + 11"
