@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chat_format, fingerprints, license_scan, near_dedup, packing, quality_knn, secret_scan, topk_search
+from lodestrata.llm import chat_format, fingerprints, license_scan, near_dedup, packing, quality_knn, secret_scan, spm_codec, token_counts, topk_search
 from lodestrata.llm.common import read
 
 
@@ -22,6 +22,20 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(turns.unionByName(extra)))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids' digest, and whether decoding gives the text back (the space mark itself reads as a space)."""
+    model = _vocabulary("piece_bpe_32k.model")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = spm_codec.decode(spm_codec.encode(docs, model), model)
+    return decoded.select(
+        "doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), F.char_length("decoded").cast("long").alias("decoded_chars"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
     items = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
@@ -74,6 +88,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_token_counts": op2_token_counts,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_license_scan": op5_license_scan,
     "op6_exact_topk": op6_exact_topk,
