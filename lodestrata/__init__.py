@@ -1,0 +1 @@
+"""Lineage and structure of legacy code estates as Spark DataFrames."""
