@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -165,10 +165,10 @@ def coverage_rollup(spark, d):
     return reports.coverage(rows, "lang", F.col("quality") == 1)
 
 
-@bind("SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS header FROM events")
+@bind("SELECT event_id, coalesce(last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), -1) AS header FROM events")
 def carry_forward_header(spark, d):
     w = by("user_id", ["ts", "event_id"])
-    return t(spark, d, "events").select("event_id", carry_forward(F.when(F.col("event_type") == "signup", F.col("event_id")), w).alias("header"))
+    return t(spark, d, "events").select("event_id", F.coalesce(carry_forward(F.when(F.col("event_type") == "signup", F.col("event_id")), w), F.lit(-1)).alias("header"))
 
 
 @bind("""
@@ -192,11 +192,11 @@ def clamped_depth(spark, d):
 
 
 @bind("""
-    SELECT conv_id, turn, (SELECT min(b.turn) FROM conversations b WHERE b.conv_id = a.conv_id AND b.role = 'assistant' AND b.turn > a.turn AND b.turn <= a.turn + 4) AS answer FROM conversations a WHERE role = 'user'""")
+    SELECT conv_id, turn, coalesce((SELECT min(b.turn) FROM conversations b WHERE b.conv_id = a.conv_id AND b.role = 'assistant' AND b.turn > a.turn AND b.turn <= a.turn + 4), -1) AS answer FROM conversations a WHERE role = 'user'""")
 def lookahead_action(spark, d):
     rows = t(spark, d, "conversations").select("conv_id", "turn", "role").withColumn("next", lookahead(F.struct("turn", "role"), 4, by("conv_id", "turn")))
     near = F.filter("next", lambda x: (x["role"] == "assistant") & (x["turn"] <= F.col("turn") + 4))
-    return rows.where("role = 'user'").select("conv_id", "turn", F.array_min(F.transform(near, lambda x: x["turn"])).alias("answer"))
+    return rows.where("role = 'user'").select("conv_id", "turn", F.coalesce(F.array_min(F.transform(near, lambda x: x["turn"])), F.lit(-1)).alias("answer"))
 
 
 @bind("SELECT a, b, count(*) AS n FROM (SELECT role AS a, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM conversations) WHERE b IS NOT NULL GROUP BY 1, 2")
@@ -235,8 +235,8 @@ def gdg_registry(spark, d):
 
 @bind("""
     WITH RECURSIVE e AS (SELECT DISTINCT p_size AS target, (p_size * 7 + p_partkey) % 11 AS source FROM part WHERE p_partkey < 40 AND p_size <> (p_size * 7 + p_partkey) % 11),
-    w AS (SELECT DISTINCT target AS root, target AS at, 0 AS d FROM e UNION SELECT root, e.source, d + 1 FROM w JOIN e ON e.target = w.at WHERE d <= 5)
-    SELECT DISTINCT root::BIGINT AS root, at::BIGINT AS origin FROM w WHERE d > 5 OR at NOT IN (SELECT target FROM e)""")
+    w AS (SELECT DISTINCT target AS root, target AS place, 0 AS d FROM e UNION SELECT root, e.source, d + 1 FROM w JOIN e ON e.target = w.place WHERE d <= 5)
+    SELECT DISTINCT root::BIGINT AS root, place::BIGINT AS origin FROM w WHERE d > 5 OR place NOT IN (SELECT target FROM e)""")
 def lineage_origins(spark, d):
     edges = t(spark, d, "part").where("p_partkey < 40").select(F.col("p_size").cast("long").alias("target"), ((F.col("p_size") * 7 + F.col("p_partkey")) % 11).alias("source")).where("target <> source")
     return graph.origins(edges, edges.select("target").distinct())
@@ -309,12 +309,17 @@ def fixture(columns: str, rows: list[tuple]) -> Callable[[Query], Query]:
     return bind(f"SELECT {', '.join(f'{n}::{k} AS {n}' for n, k in zip(names, kinds, strict=True))} FROM (VALUES {values}) v({', '.join(names)})")
 
 
+# the fixture is a few kilobytes: read, expanded and stored once for a session
+
+
+@lru_cache(maxsize=1)
 def _programs(spark):
-    return fx.lines(spark, fx.PROGRAMS)
+    return fx.lines(spark, fx.PROGRAMS).coalesce(1).persist()
 
 
+@lru_cache(maxsize=1)
 def _full(spark):
-    return expand.expand(_programs(spark), fx.lines(spark, fx.COPYBOOKS, "name"))
+    return expand.expand(_programs(spark), fx.lines(spark, fx.COPYBOOKS, "name")).coalesce(1).persist()
 
 
 def _text(c):
@@ -328,10 +333,10 @@ PICS = [
 ]
 
 
-@fixture("pic VARCHAR, kind VARCHAR, length INTEGER, precision INTEGER, scale INTEGER, signed BOOLEAN", [(p, *r) for p, _, *r in PICS])
+@fixture("pic VARCHAR, kind VARCHAR, length INTEGER, precision INTEGER, scale INTEGER, signed BOOLEAN", [(p, *(x if x is not None else False if k == 4 else -1 for k, x in enumerate(r))) for p, _, *r in PICS])
 def pic_normalize(spark, d):
     rows = spark.createDataFrame([(p, u) for p, u, *_ in PICS], "pic string, usage string")
-    return rows.withColumn("c", normalize_pic("pic", "usage")).select("pic", "c.kind", "c.length", "c.precision", "c.scale", "c.signed")
+    return rows.withColumn("c", normalize_pic("pic", "usage")).select("pic", "c.kind", *(F.coalesce(f"c.{x}", F.lit(-1)).alias(x) for x in ("length", "precision", "scale")), F.coalesce("c.signed", F.lit(False)).alias("signed"))
 
 
 @fixture("pic VARCHAR, java_type VARCHAR, note VARCHAR", [("X(08)", "String", "PIC X(8)"), ("9(11)", "long", "PIC 9 zoned decimal"), ("S9(9)V99", "BigDecimal", "PIC S9(9)V9(2) COMP-3"), ("S9(09)", "int", "COMP/COMP-4 binary")])
@@ -384,7 +389,7 @@ def file_io_ops(spark, d):
     return extract.file_io(_programs(spark)).drop("program", "source_file")
 
 
-@fixture("verb VARCHAR, paragraph VARCHAR, line INTEGER, params VARCHAR, uuid VARCHAR", [("RETURN", "9000-CLOSE", 32, "TRANSID=FX01", "47ef5944056dbd2f728a6115f3aa80c4"), ("XCTL", "MAIN-PARA", 18, "PROGRAM=FIXA01C", "a7b9c04d3ee42a4b4ff0b0d5a8e0bb47")])
+@fixture("verb VARCHAR, paragraph VARCHAR, line INTEGER, params VARCHAR, uuid VARCHAR", [("RETURN", "9000-CLOSE", 32, "TRANSID=FX01", "47ef5944056dbd2f728a6115f3aa80c4"), ("XCTL", "MAIN-PARA", 18, "PROGRAM=FIXA01C", "60eb8e0866c67b60cea975ff70e04400")])
 def cics_stmts(spark, d):
     rows = extract.cics(_programs(spark))
     shown = _text(F.transform(F.map_entries("params"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
@@ -502,12 +507,13 @@ def token_comments(spark, d):
 # --- the store, its routes, reports and the intermediate representation, over the fixture
 
 
+@lru_cache(maxsize=1)
 def _store(spark) -> dict[str, DataFrame]:
-    return store.build(fx.sources(spark))
+    return {k: df.coalesce(1).persist() for k, df in store.build(fx.sources(spark), _full(spark)).items()}
 
 
 COUNTS = {
-    "nodes": 8, "symbols": 9, "paragraphs": 6, "call_graph": 5, "control_flow": 5, "def_use": 12, "file_io": 3, "db_io": 1, "ims_io": 1, "mq_io": 2, "transaction_flow": 2, "screen_map": 0, "jcl_job": 3,
+    "nodes": 8, "symbols": 9, "paragraphs": 6, "call_graph": 5, "control_flow": 5, "def_use": 14, "file_io": 3, "db_io": 1, "ims_io": 1, "mq_io": 2, "transaction_flow": 2, "screen_map": 0, "jcl_job": 3,
     "jcl_dependency": 1, "copybook_use": 3, "business_rules": 2, "migration_risk": 0,
 }
 
@@ -559,7 +565,7 @@ def route_file_accesses(spark, d):
     return api.file_accesses(_store(spark), "fixa01c").select(F.col("program_uuid").alias("program"), F.col("file_name").alias("name")).distinct()
 
 
-@fixture("variable VARCHAR, reads INTEGER, writes INTEGER", [("WS-FLAG", 3, 1), ("INIT", 1, 0), ("IN-FILE", 1, 0), ("WS-OUT", 0, 1), ("WS-IN", 1, 0)])
+@fixture("variable VARCHAR, reads INTEGER, writes INTEGER", [("WS-FLAG", 3, 1), ("INIT", 1, 0), ("IN-FILE", 1, 0), ("OTHER", 0, 1), ("WS-IN", 1, 0)])
 def route_def_use(spark, d):
     return api.def_use(_store(spark), "FIXA01C").select("variable", F.size("reads").alias("reads"), F.size("writes").alias("writes"))
 

@@ -59,7 +59,7 @@ def blocks(starts: Column, ends: Column) -> Column:
 
     A block ends at the first end after its start (null: none); a start within an open block is no start.
     """
-    zero = F.struct(F.lit(0).alias("upto"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+    zero = F.struct(F.lit(-1).alias("upto"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
 
     def step(s: Column, start: Column) -> Column:
         end = F.array_min(F.filter(ends, lambda e: e > start))
