@@ -61,10 +61,10 @@ class Sources:
     extra: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def build(src: Sources) -> dict[str, DataFrame]:
-    """All tables. Names stay names where the tables hold names (see the README); ids are hashes of natural keys."""
+def build(src: Sources, full: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All tables; `full` is the expanded programs where the caller has them (persist them: six tables read them). Names stay names where the tables hold names (see the README); ids are hashes of natural keys."""
     spark = src.programs.sparkSession
-    full = copy.expand(src.programs, src.copybooks)
+    full = copy.expand(src.programs, src.copybooks) if full is None else full
     own = src.programs
     ids = structure.programs(full).select("source_file", "program_uuid", "program")
     nodes = structure.ast_nodes(full)
