@@ -8,10 +8,10 @@
 3. Signatures are cut into bands. In every bucket, members are tested against the bucket's most
    central member (the one whose bands meet most others); full sets confirm a link.
 4. Links are grouped by distributed union-find (alternating large-star and small-star).
-5. Only pairs of one bucket that still lie in different groups are left to test. Rounds of stars
-   about other members go on while a bucket holds many groups; then the remaining pairs are
-   tested one by one. So a group of n near copies costs about n tests, not n * n, and no
-   pair that shares a band is left untested unless its ends are already connected.
+5. Only pairs of one bucket that still lie in different groups are left. Their signatures are
+   compared within the bucket (as pairs of blocks where it is large), each pair in the first band
+   it shares; what may reach the threshold is confirmed by full sets in the same way, and only links
+   leave a task, never pairs. A group of n near copies costs about n tests and no n * n rows.
 
 A pair at the threshold shares none of the bands with probability (1 - 0.85 ** 6) ** 42 = 2e-9.
 
@@ -36,8 +36,10 @@ from lodestrata.llm.common import bound_batches, table, text_or_empty
 #: Words in a shingle; links need 100 * intersection >= PERCENT * union; bands and registers in each.
 WORDS, PERCENT, BANDS, ROWS = 5, 85, 42, 6
 REGISTERS = BANDS * ROWS
-#: Rounds of stars at most; groups in a bucket from which another round pays; steps after which permutations are held in full.
-ROUNDS, CROWD, DENSE = 4, 8, 6
+#: Estimated similarity from which a pair is tested in full: five standard deviations below the threshold.
+LIKELY = 0.74
+#: Members of a bucket that one task compares with as many others; steps after which permutations are held in full.
+BLOCK, DENSE = 1024, 6
 _CACHE = 500_000
 _MASK = np.uint64(0xFFFFFFFF)
 
@@ -125,9 +127,9 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, set_key, bands) of every whole text; set_key is a 128-bit digest of the set."""
+    """(doc_id, n_shingles, set_key, bands, sig) of every whole text; set_key is a 128-bit digest of the set, sig has 16 bits of each register."""
     bound_batches(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -136,15 +138,23 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             for at in range(0, batch.num_rows, 250):
                 part = batch.slice(at, 250)
                 sets = [shingles(x) for x in part.column(1).to_pylist()]
-                keys = band_keys(signatures(sets))
+                registers = signatures(sets)
+                keys, short = band_keys(registers), (_mix(registers.astype(np.uint64)) >> np.uint64(48)).astype(np.uint16)
                 offsets = np.arange(0, (len(sets) + 1) * BANDS, BANDS, dtype=np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), bands], schema=schema
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), bands, pa.array([x.tobytes() for x in short], pa.binary())], schema=schema
                 )
 
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return chosen.mapInArrow(rows, "doc_id long, n_shingles long, set_key binary, bands array<long>")
+    return chosen.mapInArrow(rows, "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary")
+
+
+def _linked(s: np.ndarray, t: np.ndarray) -> bool:
+    if 100 * min(len(s), len(t)) < PERCENT * max(len(s), len(t)):
+        return False
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return both > 0 and 100 * both >= PERCENT * (len(s) + len(t) - both)
 
 
 def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -157,9 +167,7 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         for batch in batches:
             ok = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                s, t = shingles(x), known(y)
-                both = len(np.intersect1d(s, t, assume_unique=True)) if min(len(s), len(t)) * 100 >= PERCENT * max(len(s), len(t)) else 0
-                ok.append(both > 0 and 100 * both >= PERCENT * (len(s) + len(t) - both))
+                ok.append(_linked(shingles(x), known(y)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return both.mapInArrow(test, "a long, b long")
@@ -192,75 +200,120 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     sketches = table(sketch(docs, id_col, text_col), "sketches")
     linkable = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
     # members of a class have equal sets and so equal bands
-    classes = table(linkable.groupBy("set_key").agg(F.min("doc_id").alias("cid"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n")), "classes")
-    members = classes.select("cid", "n", F.explode("bands").alias("key"))
+    classes = table(linkable.groupBy("set_key").agg(F.min("doc_id").alias("cid"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes")
+    members = classes.select("cid", F.posexplode("bands").alias("band", "key"))
     shared = table(members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
-    members = table(members.join(shared, "key").select("key", "cid", "n", "size"), "members")
+    members = table(members.join(shared, "key").select("key", "band", "cid", "size"), "members")
     central = members.groupBy("cid").agg(F.sum("size").alias("degree"))
-    members = table(members.join(central, "cid").select("key", "cid", "n", "degree"), "members")
+    members = table(members.join(central, "cid").select("key", "band", "cid", "degree"), "members")
     if members.isEmpty():
         labels = docs.sparkSession.createDataFrame([], "node long, label long")
     else:
-        labels = _grouped(members, texts)
+        labels = _grouped(members, classes, texts)
     whole = sketches.join(classes.select("set_key", "cid"), "set_key", "left").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("label", "cid")).otherwise(F.col("doc_id"))
     out = whole.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _near_in_size() -> F.Column:
-    return 100 * F.least("a_n", "b_n") >= PERCENT * F.greatest("a_n", "b_n")
+def _likely(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Share of equal registers of short signatures: an estimate of the similarity."""
+    return (x == y).mean(axis=-1)
 
 
-def _grouped(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Labels of the classes that have links; members is (key, cid, n, degree) of buckets with several members."""
-    links: DataFrame | None = None
-    labels: DataFrame | None = None
-    tested: DataFrame | None = None
-    for turn in range(ROUNDS + 1):
-        if labels is None:
-            open_ = members.withColumn("label", F.col("cid"))
-        else:
-            # only buckets that hold several groups have pairs left
-            open_ = members.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-            mixed = open_.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
-            mixed = table(mixed, "mixed")
-            crowd = mixed.agg(F.max("size")).first()[0] or 0
-            if not crowd:
-                break
-            open_ = table(open_.join(mixed.select("key"), "key"), "open")
-        if turn < ROUNDS and (labels is None or crowd > CROWD):
-            # a star about one member of each bucket: the most central, then, of each bucket's groups, another by hash
-            rank = F.struct(F.col("degree"), -F.col("cid")) if turn == 0 else F.struct(F.xxhash64("label", F.lit(turn)), F.col("degree"), -F.col("cid"))
-            centre = open_.groupBy("key").agg(F.max_by(F.struct(F.col("cid").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label")), rank).alias("c")).select("key", "c.*")
-            pairs = open_.select("key", F.col("cid").alias("a"), F.col("n").alias("a_n"), "label").join(table(centre, "centres"), "key").where((F.col("label") != F.col("b_label")) & _near_in_size())
-            last = False
-        else:
-            one = open_.select("key", F.col("cid").alias("a"), F.col("n").alias("a_n"), "label")
-            two = open_.select("key", F.col("cid").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"))
-            pairs = one.join(two, "key").where((F.col("a") < F.col("b")) & (F.col("label") != F.col("b_label")) & _near_in_size())
-            last = True
-        fresh = pairs.select("a", "b").distinct()
-        if tested is not None:
-            fresh = fresh.join(tested, [F.least(fresh["a"], fresh["b"]) == tested["lo"], F.greatest(fresh["a"], fresh["b"]) == tested["hi"]], "left_anti")
-        fresh = table(fresh, "pairs")
-        done = fresh.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
-        tested = done if tested is None else tested.unionByName(done)
-        found = table(verify(fresh, _texts_of(texts, fresh)), "found")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = table(components(links), "labels")
-        if last:
-            break
-        if labels is None:
-            labels = members.sparkSession.createDataFrame([], "node long, label long")
-    return labels
+def _prune(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and signatures allow a link."""
+    side = lambda name: classes.select(F.col("cid").alias(name), F.col("n").alias(f"n_{name}"), F.col("sig").alias(f"sig_{name}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = both.where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")).select("a", "b", "sig_a", "sig_b")
+
+    def test(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, REGISTERS) for k in (2, 3))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(_likely(x, y) >= LIKELY, pa.bool_()))
+
+    return both.mapInArrow(test, "a long, b long")
 
 
-def _texts_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The text of each id that stands in a pair, once."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    return table(texts.join(ids, "doc_id").dropDuplicates(["doc_id"]), "texts")
+def _candidates(sig: np.ndarray, n: np.ndarray, label: np.ndarray, block: np.ndarray, band: int, p: int, q: int) -> Iterator[tuple[int, int]]:
+    """Places of pairs of one bucket that may be linked: in different groups, alike enough, of blocks p and q, and
+    with no earlier band in common (that band's bucket tests them)."""
+    rows, cols = np.flatnonzero(block == p), np.flatnonzero(block == q)
+    for i in rows:
+        js = cols[cols > i] if p == q else cols
+        js = js[(label[js] != label[i]) & (100 * np.minimum(n[js], n[i]) >= PERCENT * np.maximum(n[js], n[i]))]
+        for at in range(0, len(js), 4096):
+            part = js[at : at + 4096]
+            equal = sig[part] == sig[i]
+            close = equal.mean(1) >= LIKELY
+            part, equal = part[close], equal[close]
+            if len(part):
+                first = equal.reshape(len(part), BANDS, ROWS).all(2).argmax(1)
+                yield from ((int(i), int(j)) for j in part[first == band])
+
+
+def _of_group(t: pa.Table) -> tuple:
+    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    get = lambda c: t.column(c).to_numpy()
+    return sig, get("n"), get("label"), get("block"), int(t.column("band")[0].as_py()), int(t.column("p")[0].as_py()), int(t.column("q")[0].as_py())
+
+
+_OPEN = "key long, band int, p int, q int, block int, cid long, n long, label long, sig binary"
+
+
+def _flag(t: pa.Table) -> pa.Table:
+    """The members of a bucket's pair of blocks that have a partner to be tested."""
+    t = t.sort_by("cid")
+    found = sorted({x for pair in _candidates(*_of_group(t)) for x in pair})
+    return t.take(pa.array(found, pa.int64()))
+
+
+def _confirm(t: pa.Table) -> pa.Table:
+    """Links of a bucket's pair of blocks, by full sets; a pair that earlier links of the task connect is not tested."""
+    t = t.sort_by("cid")
+    ids, label = t.column("cid").to_pylist(), t.column("label").to_pylist()
+    sets = [shingles(x) for x in t.column("text").to_pylist()]
+    parent: dict[int, int] = {x: x for x in label}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out: list[tuple[int, int]] = []
+    for i, j in _candidates(*_of_group(t)):
+        x, y = root(label[i]), root(label[j])
+        if x != y and _linked(sets[i], sets[j]):
+            parent[max(x, y)] = min(x, y)
+            out.append((ids[i], ids[j]))
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+
+def _grouped(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Labels of the classes that have links; members is (key, band, cid, degree) of buckets with several members."""
+    order = F.struct(F.col("degree"), -F.col("cid"))
+    centres = table(members.groupBy("key").agg(F.max_by("cid", order).alias("b")), "centres")
+    pairs = members.join(centres, "key").where("cid <> b").select(F.col("cid").alias("a"), "b").distinct()
+    likely = table(_prune(pairs, classes), "pairs")
+    links = table(verify(likely, _texts_of(texts, likely.select(F.explode(F.array("a", "b")).alias("doc_id")))), "found")
+    labels = table(components(links), "labels")
+    grouped = members.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    # only buckets that hold several groups have pairs left; a large one is dealt out as pairs of blocks
+    mixed = grouped.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
+    mixed = table(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed")
+    rest = grouped.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
+    rest = rest.select("key", "band", "cid", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rest = rest.select("key", "band", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "cid", "label")
+    rest = rest.join(classes.select("cid", "n", "sig"), "cid").select(*(c.split()[0] for c in _OPEN.split(", ")))
+    flagged = table(rest.groupBy("key", "p", "q").applyInArrow(_flag, _OPEN), "flagged")
+    own = _texts_of(texts, flagged.select(F.col("cid").alias("doc_id"))).withColumnRenamed("doc_id", "cid")
+    more = table(flagged.join(own, "cid").groupBy("key", "p", "q").applyInArrow(_confirm, "a long, b long"), "found")
+    return labels if more.isEmpty() else table(components(links.unionByName(more)), "labels")
+
+
+def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The text of each id, once."""
+    return table(texts.join(ids.distinct(), "doc_id").dropDuplicates(["doc_id"]), "texts")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
