@@ -34,6 +34,8 @@ MARK = "▁"
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Words whose ids a worker keeps; characters joined to one text to be indexed.
 KEPT, JOINED = 400_000, 400_000
+#: Words up to this many characters are relaxed together; longer ones, one by one with a heap.
+LONG = 64
 
 
 class SuffixMatcher:
@@ -42,15 +44,20 @@ class SuffixMatcher:
     def __init__(self, pieces: list[str]) -> None:
         self.width = -(-max(map(len, pieces)) // 4) * 4
         letters = sorted(set("".join(pieces)))
-        self.rank = {c: k for k, c in enumerate(letters, 1)}  # 0 lies between words
-        self.other = len(letters) + 1
+        # a 16-bit number for each character: 0 lies between words, the last is any that no piece has
+        self.number = np.full(0x110000, len(letters) + 1, np.uint16)
+        self.number[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.number[0] = 0
         self.lengths = np.array([len(p) for p in pieces])
         codes = np.zeros((len(pieces), self.width), np.uint64)
         for row, p in zip(codes, pieces, strict=True):
-            row[: len(p)] = [self.rank[c] for c in p]
+            row[: len(p)] = self._codes(p)
         beyond = np.arange(self.width)[None, :] >= self.lengths[:, None]
         self.low, self.high = self._keys(codes), self._keys(np.where(beyond, np.uint64(0xFFFF), codes))
 
+    def _codes(self, text: str) -> np.ndarray:
+        return self.number[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
     @staticmethod
     def _keys(codes: np.ndarray) -> list[np.ndarray]:
         """Four 16-bit characters to a key, the first characters first."""
@@ -58,9 +65,9 @@ class SuffixMatcher:
 
     def edges(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Start and piece of every occurrence, sorted by start, then length."""
-        n, get, other = len(text), self.rank.get, self.other
+        n = len(text)
         codes = np.zeros(n + self.width, np.uint64)
-        codes[:n] = np.fromiter((0 if c == "\0" else get(c, other) for c in text), np.uint64, n)
+        codes[:n] = self._codes(text)
         keys = self._keys(np.lib.stride_tricks.sliding_window_view(codes, self.width)[:n])
         order = np.lexsort(keys[::-1])
         keys = [k[order] for k in keys]
@@ -152,12 +159,68 @@ class Codec:
             self._learn(held)
 
     def _learn(self, words: list[str]) -> None:
-        start, piece = self.matcher.edges("\0".join(words))
-        base = np.cumsum([0, *(len(w) + 1 for w in words)])
-        cut = np.searchsorted(start, base)
-        start, piece = start.tolist(), piece.tolist()
-        for word, b, lo, hi in zip(words, base.tolist(), cut.tolist(), cut[1:].tolist(), strict=False):
-            self.known[word] = self._relax(word, start[lo:hi], piece[lo:hi], b)
+        for long in (w for w in words if len(w) > LONG):
+            start, piece = self.matcher.edges(long)
+            self.known[long] = self._relax(long, start.tolist(), piece.tolist(), 0)
+        words = [w for w in words if len(w) <= LONG]
+        if words:
+            self._relax_together(words)
+
+    def _relax_together(self, words: list[str]) -> None:
+        """The same for many short words: each round joins the best pair of every word."""
+        text = "\0".join(words)
+        start, piece = self.matcher.edges(text)
+        width, scores, n = self.matcher.width + 1, np.array(self.scores), len(text)
+        keys = start * width + self.matcher.lengths[piece]
+        lens = np.array([len(w) for w in words])
+        base = np.cumsum(lens + 1) - lens - 1
+        of = np.repeat(np.arange(len(words)), lens + 1)[:n]
+        first, end = base[of], (base + lens)[of]
+
+        def edge(a: np.ndarray, b: np.ndarray, ok: np.ndarray) -> np.ndarray:
+            """The piece from a to b of one word; -1 where there is none."""
+            k = a * width + np.minimum(b - a, width - 1)
+            at = np.minimum(np.searchsorted(keys, k), max(len(keys) - 1, 0))
+            return np.where(ok & (b - a < width) & (keys[at] == k), piece[at], -1) if len(keys) else np.full(len(a), -1)
+
+        def gain(a: np.ndarray, b: np.ndarray, ok: np.ndarray) -> np.ndarray:
+            p = edge(a, b, ok)
+            return np.where(p >= 0, scores[p], -np.inf)
+
+        place = np.arange(n)
+        after, before, live = place + 1, place - 1, place < end
+        pair = gain(place, place + 2, place + 2 <= end)
+        while True:
+            best = np.maximum.reduceat(pair, base)
+            i = np.flatnonzero((pair == best[of]) & (pair > -np.inf))
+            if not len(i):
+                break
+            i = i[np.r_[True, of[i[1:]] != of[i[:-1]]]]  # the leftmost of equals
+            j = after[i]
+            k = after[j]
+            after[i], live[j], pair[j] = k, False, -np.inf
+            inside = k < end[i]
+            before[k[inside]] = i[inside]
+            pair[i] = gain(i, after[np.minimum(k, n - 1)], inside)
+            left = before[i]
+            has = left >= first[i]
+            pair[left[has]] = gain(left[has], k[has], np.ones(int(has.sum()), bool))
+        at = np.flatnonzero(live)
+        found = edge(at, after[at], np.ones(len(at), bool))
+        ids = np.array(self.plain)[found].astype("<u4").tobytes()
+        cut = np.searchsorted(at, np.r_[base, n])
+        odd = set(of[at[found < 0]].tolist())
+        for k, (word, lo, hi) in enumerate(zip(words, cut.tolist(), cut[1:].tolist(), strict=False)):
+            if k in odd:
+                whole = array("I")
+                for a, p in zip(at[lo:hi].tolist(), found[lo:hi].tolist(), strict=True):
+                    if p >= 0:
+                        whole.append(self.plain[p])
+                    else:
+                        whole.extend(self.byte_ids.get(b, self.unknown) for b in text[a : after[a]].encode("utf-8", "surrogatepass"))
+                self.known[word] = whole.tobytes()
+            else:
+                self.known[word] = ids[4 * lo : 4 * hi]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
