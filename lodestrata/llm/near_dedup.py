@@ -41,6 +41,8 @@ LIKELY = 0.74
 #: Members of a bucket that one task compares with as many others; steps after which permutations are held in full.
 BLOCK, DENSE = 1024, 6
 _CACHE = 500_000
+#: Ids (8 bytes each) up to which they are broadcast.
+FEW_IDS = 2_000_000
 _MASK = np.uint64(0xFFFFFFFF)
 
 
@@ -223,6 +225,7 @@ def _likely(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _prune(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and signatures allow a link."""
+    classes = _among(classes.select("cid", "n", "sig"), "cid", pairs.select(F.explode(F.array("a", "b"))))
     side = lambda name: classes.select(F.col("cid").alias(name), F.col("n").alias(f"n_{name}"), F.col("sig").alias(f"sig_{name}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     both = both.where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")).select("a", "b", "sig_a", "sig_b")
@@ -293,7 +296,7 @@ def _grouped(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
     """Labels of the classes that have links; members is (key, band, cid, degree) of buckets with several members."""
     order = F.struct(F.col("degree"), -F.col("cid"))
     centres = table(members.groupBy("key").agg(F.max_by("cid", order).alias("b")), "centres")
-    pairs = members.join(centres, "key").where("cid <> b").select(F.col("cid").alias("a"), "b").distinct()
+    pairs = table(members.join(centres, "key").where("cid <> b").select(F.col("cid").alias("a"), "b").distinct(), "pairs")
     likely = table(_prune(pairs, classes), "pairs")
     links = table(verify(likely, _texts_of(texts, likely.select(F.explode(F.array("a", "b")).alias("doc_id")))), "found")
     labels = table(components(links), "labels")
@@ -304,16 +307,23 @@ def _grouped(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
     rest = grouped.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
     rest = rest.select("key", "band", "cid", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rest = rest.select("key", "band", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "cid", "label")
-    rest = rest.join(classes.select("cid", "n", "sig"), "cid").select(*(c.split()[0] for c in _OPEN.split(", ")))
+    rest = table(rest, "rest")
+    rest = rest.join(_among(classes.select("cid", "n", "sig"), "cid", rest.select("cid")), "cid").select(*(c.split()[0] for c in _OPEN.split(", ")))
     flagged = table(rest.groupBy("key", "p", "q").applyInArrow(_flag, _OPEN), "flagged")
     own = _texts_of(texts, flagged.select(F.col("cid").alias("doc_id"))).withColumnRenamed("doc_id", "cid")
     more = table(flagged.join(own, "cid").groupBy("key", "p", "q").applyInArrow(_confirm, "a long, b long"), "found")
     return labels if more.isEmpty() else table(components(links.unionByName(more)), "labels")
 
 
+def _among(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows whose key is one of `ids`: the ids are broadcast while there are few, so that long rows do not move to meet them; else both are dealt by key."""
+    ids = table(ids.select(F.col(ids.columns[0]).alias(key)).distinct(), "ids")
+    return rows.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids.hint("merge"), key, "left_semi")
+
+
 def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """The text of each id, once."""
-    return table(texts.join(ids.distinct(), "doc_id").dropDuplicates(["doc_id"]), "texts")
+    return table(_among(texts, "doc_id", ids).dropDuplicates(["doc_id"]), "texts")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
