@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +41,19 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def in_parts(batch: pa.RecordBatch, text: int, rows: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most `rows` rows and, but for a single longer text, `most` bytes in the column `text`."""
+    sizes = pc.binary_length(batch.column(text)).to_pylist()
+    at = held = 0
+    for k, size in enumerate(sizes):
+        if k > at and (k - at >= rows or held + (size or 0) > most):
+            yield batch.slice(at, k - at)
+            at, held = k, 0
+        held += size or 0
+    if at < len(sizes):
+        yield batch.slice(at)
+
+
 def single_threaded() -> None:
     """Keep native libraries in a Python worker to the one core that Spark gave its task."""
     for key in ("TOKENIZERS_PARALLELISM", "OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS"):

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import bound_batches, table, text_or_empty
+from lodestrata.llm.common import bound_batches, in_parts, table, text_or_empty
 
 #: Words in a shingle; links need 100 * intersection >= PERCENT * union; bands and registers in each.
 WORDS, PERCENT, BANDS, ROWS = 5, 85, 42, 6
@@ -40,7 +40,7 @@ REGISTERS = BANDS * ROWS
 LIKELY = 0.74
 #: Members of a bucket that one task compares with as many others; steps after which permutations are held in full.
 BLOCK, DENSE = 1024, 6
-_CACHE = 500_000
+_CACHE = 100_000
 #: Ids (8 bytes each) up to which they are broadcast.
 FEW_IDS = 2_000_000
 _MASK = np.uint64(0xFFFFFFFF)
@@ -137,8 +137,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         import xxhash
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 250):
-                part = batch.slice(at, 250)
+            for part in in_parts(batch, 1, 250):
                 sets = [shingles(x) for x in part.column(1).to_pylist()]
                 registers = signatures(sets)
                 keys, short = band_keys(registers), (_mix(registers.astype(np.uint64)) >> np.uint64(48)).astype(np.uint16)

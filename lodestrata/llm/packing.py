@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import bound_batches, single_threaded, table, text_or_empty
+from lodestrata.llm.common import bound_batches, in_parts, single_threaded, table, text_or_empty
 
 CAPACITY = 2048
 #: A bin with at most this much room is closed where it stands.
@@ -130,7 +130,7 @@ def tokenize(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
-        for batch in batches:
+        for batch in (part for whole in batches for part in in_parts(whole, 1, 256)):
             ids, of = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows: list[list] = [[], [], [], [], []]
 
