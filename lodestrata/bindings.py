@@ -117,7 +117,10 @@ def dead_targets_anti(spark, d):
     s AS (SELECT x.g AS a, y.g AS b, count(*) AS shared FROM e x JOIN e y USING (o_orderstatus, o_orderpriority) WHERE x.g < y.g GROUP BY 1, 2)
     SELECT a, b, shared, round(shared / (p.n + q.n - shared), 3) AS similarity FROM s JOIN n p ON p.g = a JOIN n q ON q.g = b WHERE shared / (p.n + q.n - shared) >= 0.6""")
 def clone_jaccard(spark, d):
-    return graph.jaccard_pairs(t(spark, d, "orders").where("o_custkey < 200"), "o_custkey", ["o_orderstatus", "o_orderpriority"], 0.6)
+    # customers with equal sets are one class: pairs of its least members, and a row from that member to each of the others
+    pairs, members = graph.jaccard_classes(t(spark, d, "orders"), "o_custkey", ["o_orderstatus", "o_orderpriority"], 0.6)
+    others = members.where("g <> rep").select(F.col("rep").alias("a"), F.col("g").alias("b"), F.col("size").alias("shared"), F.lit(1.0).alias("similarity"))
+    return pairs.withColumn("kind", F.lit("pair")).unionByName(others.withColumn("kind", F.lit("member")))
 
 
 @bind("""

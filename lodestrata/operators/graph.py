@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.operators.windows import first_wins
+from lodestrata.operators.windows import by, first_wins
 from lodestrata.sources.lines import stem
 
 #: Dispositions of producers and consumers; names of paragraphs where a program begins.
@@ -74,24 +74,45 @@ def transaction_flow(calls: DataFrame, cics: DataFrame, transactions: DataFrame)
     return rows.select("from_program", "to_program", "edge_type", F.coalesce("f", none).alias("from_transid"), F.coalesce("given", "t", none).alias("to_transid"), F.lit(None).cast("int").alias("commarea_size"), "paragraph", "line", "source_file")
 
 
-def jaccard_pairs(rows: DataFrame, group: str, element: list[str], threshold: float, digits: int = 3) -> DataFrame:
-    """(a, b, shared, similarity) of groups whose sets of distinct elements are alike, a < b.
+#: Classes that meet as many others in one task where they share an element; parts in which elements are numbered.
+BLOCK, PARTS = 1024, 1024
+
+
+def jaccard_classes(rows: DataFrame, group: str, element: list[str], threshold: float, digits: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(a, b, shared, similarity) of classes whose sets of distinct elements are alike, a < b; (rep, g, size) of every group.
 
-    Groups meet only where they share an element, and only over their rarest elements: two sets can be alike only if
-    they share one of the first n - ceil(threshold * n) + 1 of a common order. The sets are then compared in full.
+    Groups with equal sets are one class, named by its least group. Classes meet only where they share an element, and only
+    over their rarest elements: two sets can be alike only if they share one of the first n - ceil(threshold * n) + 1 of a
+    common order. Classes of a common element are dealt out as blocks. Where they meet, sizes and masks of 64 bits rule out
+    most pairs: a bit of one mask that the other lacks stands for at least one element that is not shared.
     """
     items = rows.select(F.col(group).alias("g"), F.struct(*element).alias("e")).where("g IS NOT NULL").distinct()
-    common = items.groupBy("e").agg(F.count("*").alias("n"))
-    ordered = items.join(common, "e").groupBy("g").agg(F.array_sort(F.collect_list(F.struct("n", "e"))).alias("r"))
-    sets = ordered.select("g", F.transform("r", lambda x: x["e"]).alias("s"))
+    common = items.groupBy("e").agg(F.count("*").alias("n")).withColumn("part", F.pmod(F.xxhash64("e"), F.lit(PARTS)))
+    numbered = common.select("e", "n", (F.row_number().over(by("part", "e")) * PARTS + F.col("part")).alias("x"))
+    sets = items.join(numbered, "e").groupBy("g").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("s")).select("g", F.transform("s", lambda x: x["x"]).alias("s"))
+    reps = sets.groupBy("s").agg(F.min("g").alias("rep"))
+    members = sets.join(reps, "s").select("rep", "g", F.size("s").cast("long").alias("size"))
     size = F.size("s")
     prefix = F.slice("s", F.lit(1), size - F.ceil(F.lit(threshold) * size - 1e-9).cast("int") + 1)
-    heads = sets.select("g", F.explode(prefix).alias("e"))
-    pairs = heads.alias("x").join(heads.alias("y"), "e").where("x.g < y.g").select(F.col("x.g").alias("a"), F.col("y.g").alias("b")).distinct()
-    both = pairs.join(sets.select(F.col("g").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("g").alias("b"), F.col("s").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    out = both.withColumn("shared", shared).withColumn("raw", F.col("shared") / (F.size("sa") + F.size("sb") - F.col("shared")))
-    return out.where(F.col("raw") >= threshold).select("a", "b", F.col("shared").cast("long").alias("shared"), F.round("raw", digits).alias("similarity"))
+    mask = F.expr("aggregate(s, 0L, (m, x) -> m | shiftleft(1L, cast(pmod(xxhash64(x), 64) AS int)))")
+    heads = reps.select("rep", "s", size.alias("k"), mask.alias("m"), F.explode(prefix).alias("x"))
+    heads = heads.join(heads.groupBy("x").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "x")
+    side = lambda p, block: heads.select("x", block.alias("block"), F.col("rep").alias(p), *(F.col(c).alias(f"{c}{p}") for c in "skm"))
+    met = side("a", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).join(side("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), ["x", "block"])
+    most = F.expr("least(ka - bit_count(ma & ~mb), kb - bit_count(mb & ~ma))")
+    met = met.where((F.col("a") < F.col("b")) & (most * (1 + threshold) >= threshold * (F.col("ka") + F.col("kb")) - 1e-9))
+    both = met.select("a", "b", "ka", "kb", F.size(F.array_intersect("sa", "sb")).alias("shared"))
+    both = both.withColumn("raw", F.col("shared") / (F.col("ka") + F.col("kb") - F.col("shared"))).where(F.col("raw") >= threshold).distinct()
+    return both.select("a", "b", F.col("shared").cast("long").alias("shared"), F.round("raw", digits).alias("similarity")), members
+
+
+def jaccard_pairs(rows: DataFrame, group: str, element: list[str], threshold: float, digits: int = 3) -> DataFrame:
+    """(a, b, shared, similarity) of groups whose sets of distinct elements are alike, a < b: every pair, so its size is that of the answer."""
+    pairs, members = jaccard_classes(rows, group, element, threshold, digits)
+    of = lambda p: members.select(F.col("rep").alias(p), F.col("g").alias(f"g_{p}"))
+    apart = pairs.join(of("a"), "a").join(of("b"), "b").select(F.least("g_a", "g_b").alias("a"), F.greatest("g_a", "g_b").alias("b"), "shared", "similarity")
+    one = members.select("rep", F.col("g").alias("a")).join(members.select("rep", F.col("g").alias("b"), "size"), "rep").where("a < b")
+    return apart.unionByName(one.select("a", "b", F.col("size").alias("shared"), F.lit(1.0).alias("similarity")))
 
 
 def degrees(edges: DataFrame, source: str, target: str) -> DataFrame:
