@@ -84,8 +84,7 @@ def range_join(spark, d):
     WITH p AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'N' AND l_quantity >= 48), c AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 48)
     SELECT p.l_suppkey AS producer_job, c.l_suppkey AS consumer_job, p.l_partkey AS dataset_name, 'N' AS producer_disp, 'R' AS consumer_disp FROM p JOIN c USING (l_partkey) WHERE p.l_suppkey <> c.l_suppkey""")
 def producer_consumer_deps(spark, d):
-    rows = t(spark, d, "lineitem").where("l_quantity >= 48")
-    return graph.dependencies(rows, "l_suppkey", "l_partkey", "l_returnflag", ("N",), ("R",))
+    return graph.dependencies(t(spark, d, "lineitem"), "l_suppkey", "l_partkey", "l_returnflag", ("N",), ("R",))
 
 
 @bind("SELECT DISTINCT b.l_suppkey FROM lineitem a JOIN lineitem b ON a.l_partkey = b.l_partkey AND a.l_suppkey <> b.l_suppkey WHERE a.l_suppkey = 1 ORDER BY 1 LIMIT 20")

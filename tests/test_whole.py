@@ -30,3 +30,12 @@ def test_clones_of_all_customers(spark, tmp_path):
                 want[a, b] = (both, round(both / either, 3))
     assert got == want and any(a >= 200 for a, _ in want)
     assert len([r for r in rows if r.kind == "pair"]) == len({(r.a, r.b) for r in rows if r.kind == "pair"}) and len(of) == len([r for r in rows if r.kind == "member"])
+
+
+def test_dependencies_through_lines_of_any_quantity(spark, tmp_path):
+    rnd = random.Random(7)
+    lines = [(rnd.randrange(8), rnd.randrange(30), rnd.choice("NRA"), float(rnd.randint(1, 50))) for _ in range(300)]
+    put(spark, tmp_path, "lineitem", lines, "l_suppkey long, l_partkey long, l_returnflag string, l_quantity double")
+    got = [tuple(r) for r in bindings.QUERIES["producer_consumer_deps"](spark, str(tmp_path)).collect()]
+    want = {(p, c, x, "N", "R") for p, x, f, _ in lines if f == "N" for c, y, g, _ in lines if g == "R" and x == y and p != c}
+    assert sorted(got) == sorted(want)
