@@ -249,7 +249,7 @@ def lineage_origins(spark, d):
     UNION ALL SELECT 1, 'supplier', s_suppkey, s_name FROM supplier WHERE s_suppkey <= 300 UNION ALL SELECT 2, 'part', p_partkey, p_name FROM part WHERE p_partkey <= 300)) WHERE rn = 1""")
 def priority_union(spark, d):
     sides = (("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name"), ("part", "p_partkey", "p_name"))
-    rows = reduce(DataFrame.unionByName, (t(spark, d, n).where(F.col(k) <= 300).select(F.lit(p).alias("prio"), F.lit(n).alias("table"), F.col(k).alias("id"), F.col(c).alias("name")) for p, (n, k, c) in enumerate(sides)))
+    rows = reduce(DataFrame.unionByName, (t(spark, d, n).select(F.lit(p).alias("prio"), F.lit(n).alias("table"), F.col(k).alias("id"), F.col(c).alias("name")) for p, (n, k, c) in enumerate(sides)))
     return first_wins(rows, ["id"], ["prio"]).select("table", "id", "name")
 
 

@@ -39,3 +39,16 @@ def test_dependencies_through_lines_of_any_quantity(spark, tmp_path):
     got = [tuple(r) for r in bindings.QUERIES["producer_consumer_deps"](spark, str(tmp_path)).collect()]
     want = {(p, c, x, "N", "R") for p, x, f, _ in lines if f == "N" for c, y, g, _ in lines if g == "R" and x == y and p != c}
     assert sorted(got) == sorted(want)
+
+
+def test_the_first_table_wins_for_large_keys(spark, tmp_path):
+    names = {"customer": ("c", [1, 299, 301, 900]), "supplier": ("s", [1, 2, 301, 700]), "part": ("p", [2, 3, 700, 900, 10**9])}
+    keys = {"customer": "custkey", "supplier": "suppkey", "part": "partkey"}
+    for name, (p, ids) in names.items():
+        put(spark, tmp_path, name, [(k, f"{name} {k}") for k in ids], f"{p}_{keys[name]} long, {p}_name string")
+    got = sorted(tuple(r) for r in bindings.QUERIES["priority_union"](spark, str(tmp_path)).collect())
+    want: dict = {}
+    for name, (_, ids) in names.items():
+        for k in ids:
+            want.setdefault(k, (name, k, f"{name} {k}"))
+    assert got == sorted(want.values())
