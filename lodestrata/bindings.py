@@ -240,7 +240,7 @@ def gdg_registry(spark, d):
     w AS (SELECT DISTINCT target AS root, target AS place, 0 AS d FROM e UNION SELECT root, e.source, d + 1 FROM w JOIN e ON e.target = w.place WHERE d <= 5)
     SELECT DISTINCT root::BIGINT AS root, place::BIGINT AS origin FROM w WHERE d > 5 OR place NOT IN (SELECT target FROM e)""")
 def lineage_origins(spark, d):
-    edges = t(spark, d, "part").where("p_partkey < 40").select(F.col("p_size").cast("long").alias("target"), ((F.col("p_size") * 7 + F.col("p_partkey")) % 11).alias("source")).where("target <> source")
+    edges = t(spark, d, "part").select(F.col("p_size").cast("long").alias("target"), ((F.col("p_size") * 7 + F.col("p_partkey")) % 11).alias("source")).where("target <> source")
     return graph.origins(edges, edges.select("target").distinct())
 
 
@@ -280,8 +280,8 @@ def graph_degrees(spark, d):
     WITH RECURSIVE w AS (SELECT 1::BIGINT AS node, 0 AS hops UNION SELECT l.l_partkey % 200, hops + 1 FROM w JOIN lineitem l ON l.l_suppkey = w.node WHERE hops < 3)
     SELECT node, min(hops) AS hops FROM w GROUP BY 1""")
 def k_hop_reach(spark, d):
-    edges = t(spark, d, "lineitem").select("l_suppkey", (F.col("l_partkey") % 200).alias("p"))
-    return graph.reach(edges, spark.createDataFrame([(1,)], "node long"), "l_suppkey", "p", 3)
+    edges = t(spark, d, "lineitem").select("l_suppkey", "l_partkey")
+    return graph.reach(edges, spark.createDataFrame([(1,)], "node long"), "l_suppkey", "l_partkey", 3)
 
 
 @bind("SELECT count(*) FILTER (event_type = 'signup') AS success, count(*) FILTER (event_type = 'error') AS failure, 0::BIGINT AS gap, count(*) FILTER (event_type = 'view') AS warning FROM events")

@@ -52,3 +52,24 @@ def test_the_first_table_wins_for_large_keys(spark, tmp_path):
         for k in ids:
             want.setdefault(k, (name, k, f"{name} {k}"))
     assert got == sorted(want.values())
+
+
+def test_origins_over_all_parts(spark, tmp_path):
+    parts = [(3, 17), (39, 20), (40, 31), (77, 45), (1234, 5), (99999, 50)]
+    put(spark, tmp_path, "part", parts, "p_partkey long, p_size int")
+    edges: dict = {}
+    for key, size in parts:
+        if (source := (size * 7 + key) % 11) != size:
+            edges.setdefault(size, set()).add(source)
+
+    def trace(v, depth=0):
+        return {v} if depth > 5 or v not in edges else set().union(*(trace(x, depth + 1) for x in edges[v]))
+
+    got = sorted(tuple(r) for r in bindings.QUERIES["lineage_origins"](spark, str(tmp_path)).collect())
+    assert got == sorted((root, x) for root in edges for x in trace(root)) and {31, 45, 50} <= set(edges)
+
+
+def test_reach_keeps_large_node_ids(spark, tmp_path):
+    put(spark, tmp_path, "lineitem", [(1, 2), (1, 450), (450, 999), (999, 7), (7, 8), (2, 201), (3, 4)], "l_suppkey long, l_partkey long")
+    got = {r.node: r.hops for r in bindings.QUERIES["k_hop_reach"](spark, str(tmp_path)).collect()}
+    assert got == {1: 0, 2: 1, 450: 1, 999: 2, 201: 2, 7: 3}
