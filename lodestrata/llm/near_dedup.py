@@ -13,7 +13,7 @@
    it shares; what may reach the threshold is confirmed by full sets in the same way, and only links
    leave a task, never pairs. A group of n near copies costs about n tests and no n * n rows.
 
-A pair at the threshold shares none of the bands with probability (1 - 0.85 ** 6) ** 42 = 2e-9.
+A pair at the threshold shares none of the bands with probability (1 - 0.85 ** 6) ** 42 = 2e-9; at 0.80 it is 3e-6.
 
 Defined results: a null or empty text has an empty set and is linked with nothing; with fewer
 words than a shingle, the whole sequence is the one shingle; rows with a null id take part in no
@@ -33,11 +33,9 @@ from pyspark.sql import functions as F
 
 from lodestrata.llm.common import bound_batches, in_parts, table, text_or_empty
 
-#: Words in a shingle; links need 100 * intersection >= PERCENT * union; bands and registers in each.
+#: Words in a shingle; links need 100 * intersection >= percent * union, PERCENT unless given; bands and registers in each.
 WORDS, PERCENT, BANDS, ROWS = 5, 85, 42, 6
 REGISTERS = BANDS * ROWS
-#: Estimated similarity from which a pair is tested in full: five standard deviations below the threshold.
-LIKELY = 0.74
 #: Members of a bucket that one task compares with as many others; steps after which permutations are held in full.
 BLOCK, DENSE = 1024, 6
 _CACHE = 100_000
@@ -151,14 +149,20 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return chosen.mapInArrow(rows, "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary")
 
 
-def _linked(s: np.ndarray, t: np.ndarray) -> bool:
-    if 100 * min(len(s), len(t)) < PERCENT * max(len(s), len(t)):
+def likely_from(percent: int) -> float:
+    """Estimated similarity from which a pair is tested in full: five standard deviations below the threshold."""
+    p = percent / 100
+    return round(p - 5 * (p * (1 - p) / REGISTERS) ** 0.5, 2)
+
+
+def _linked(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(s), len(t)) < percent * max(len(s), len(t)):
         return False
     both = len(np.intersect1d(s, t, assume_unique=True))
-    return both > 0 and 100 * both >= PERCENT * (len(s) + len(t) - both)
+    return both > 0 and 100 * both >= percent * (len(s) + len(t) - both)
 
 
-def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold; `docs` is (doc_id, text)."""
     of = lambda name: docs.select(F.col("doc_id").alias(name), F.col("text").alias(f"text_{name}"))
     both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "text_a", "text_b")
@@ -168,7 +172,7 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         for batch in batches:
             ok = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                ok.append(_linked(shingles(x), known(y)))
+                ok.append(_linked(shingles(x), known(y), percent))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return both.mapInArrow(test, "a long, b long")
@@ -195,7 +199,7 @@ def components(edges: DataFrame) -> DataFrame:
     return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label"))
 
 
-def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): the least id that each document reaches over links of near duplicates."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     sketches = table(sketch(docs, id_col, text_col), "sketches")
@@ -210,7 +214,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     if members.isEmpty():
         labels = docs.sparkSession.createDataFrame([], "node long, label long")
     else:
-        labels = _grouped(members, classes, texts)
+        labels = _grouped(members, classes, texts, percent)
     whole = sketches.join(classes.select("set_key", "cid"), "set_key", "left").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("label", "cid")).otherwise(F.col("doc_id"))
     out = whole.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
@@ -222,32 +226,33 @@ def _likely(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x == y).mean(axis=-1)
 
 
-def _prune(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _prune(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sizes and signatures allow a link."""
     classes = _among(classes.select("cid", "n", "sig"), "cid", pairs.select(F.explode(F.array("a", "b"))))
     side = lambda name: classes.select(F.col("cid").alias(name), F.col("n").alias(f"n_{name}"), F.col("sig").alias(f"sig_{name}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    both = both.where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")).select("a", "b", "sig_a", "sig_b")
+    both = both.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b", "sig_a", "sig_b")
+    likely = likely_from(percent)
 
     def test(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, REGISTERS) for k in (2, 3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(_likely(x, y) >= LIKELY, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(_likely(x, y) >= likely, pa.bool_()))
 
     return both.mapInArrow(test, "a long, b long")
 
 
-def _candidates(sig: np.ndarray, n: np.ndarray, label: np.ndarray, block: np.ndarray, band: int, p: int, q: int) -> Iterator[tuple[int, int]]:
+def _candidates(sig: np.ndarray, n: np.ndarray, label: np.ndarray, block: np.ndarray, band: int, p: int, q: int, percent: int) -> Iterator[tuple[int, int]]:
     """Places of pairs of one bucket that may be linked: in different groups, alike enough, of blocks p and q, and
     with no earlier band in common (that band's bucket tests them)."""
-    rows, cols = np.flatnonzero(block == p), np.flatnonzero(block == q)
+    rows, cols, likely = np.flatnonzero(block == p), np.flatnonzero(block == q), likely_from(percent)
     for i in rows:
         js = cols[cols > i] if p == q else cols
-        js = js[(label[js] != label[i]) & (100 * np.minimum(n[js], n[i]) >= PERCENT * np.maximum(n[js], n[i]))]
+        js = js[(label[js] != label[i]) & (100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i]))]
         for at in range(0, len(js), 4096):
             part = js[at : at + 4096]
             equal = sig[part] == sig[i]
-            close = equal.mean(1) >= LIKELY
+            close = equal.mean(1) >= likely
             part, equal = part[close], equal[close]
             if len(part):
                 first = equal.reshape(len(part), BANDS, ROWS).all(2).argmax(1)
@@ -263,14 +268,14 @@ def _of_group(t: pa.Table) -> tuple:
 _OPEN = "key long, band int, p int, q int, block int, cid long, n long, label long, sig binary"
 
 
-def _flag(t: pa.Table) -> pa.Table:
+def _flag(t: pa.Table, percent: int) -> pa.Table:
     """The members of a bucket's pair of blocks that have a partner to be tested."""
     t = t.sort_by("cid")
-    found = sorted({x for pair in _candidates(*_of_group(t)) for x in pair})
+    found = sorted({x for pair in _candidates(*_of_group(t), percent) for x in pair})
     return t.take(pa.array(found, pa.int64()))
 
 
-def _confirm(t: pa.Table) -> pa.Table:
+def _confirm(t: pa.Table, percent: int) -> pa.Table:
     """Links of a bucket's pair of blocks, by full sets; a pair that earlier links of the task connect is not tested."""
     t = t.sort_by("cid")
     ids, label = t.column("cid").to_pylist(), t.column("label").to_pylist()
@@ -283,21 +288,21 @@ def _confirm(t: pa.Table) -> pa.Table:
         return x
 
     out: list[tuple[int, int]] = []
-    for i, j in _candidates(*_of_group(t)):
+    for i, j in _candidates(*_of_group(t), percent):
         x, y = root(label[i]), root(label[j])
-        if x != y and _linked(sets[i], sets[j]):
+        if x != y and _linked(sets[i], sets[j], percent):
             parent[max(x, y)] = min(x, y)
             out.append((ids[i], ids[j]))
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
-def _grouped(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _grouped(members: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Labels of the classes that have links; members is (key, band, cid, degree) of buckets with several members."""
     order = F.struct(F.col("degree"), -F.col("cid"))
     centres = table(members.groupBy("key").agg(F.max_by("cid", order).alias("b")), "centres")
     pairs = table(members.join(centres, "key").where("cid <> b").select(F.col("cid").alias("a"), "b").distinct(), "pairs")
-    likely = table(_prune(pairs, classes), "pairs")
-    links = table(verify(likely, _texts_of(texts, likely.select(F.explode(F.array("a", "b")).alias("doc_id")))), "found")
+    likely = table(_prune(pairs, classes, percent), "pairs")
+    links = table(verify(likely, _texts_of(texts, likely.select(F.explode(F.array("a", "b")).alias("doc_id"))), percent), "found")
     labels = table(components(links), "labels")
     grouped = members.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     # only buckets that hold several groups have pairs left; a large one is dealt out as pairs of blocks
@@ -308,9 +313,9 @@ def _grouped(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
     rest = rest.select("key", "band", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "cid", "label")
     rest = table(rest, "rest")
     rest = rest.join(_among(classes.select("cid", "n", "sig"), "cid", rest.select("cid")), "cid").select(*(c.split()[0] for c in _OPEN.split(", ")))
-    flagged = table(rest.groupBy("key", "p", "q").applyInArrow(_flag, _OPEN), "flagged")
+    flagged = table(rest.groupBy("key", "p", "q").applyInArrow(lambda t: _flag(t, percent), _OPEN), "flagged")
     own = _texts_of(texts, flagged.select(F.col("cid").alias("doc_id"))).withColumnRenamed("doc_id", "cid")
-    more = table(flagged.join(own, "cid").groupBy("key", "p", "q").applyInArrow(_confirm, "a long, b long"), "found")
+    more = table(flagged.join(own, "cid").groupBy("key", "p", "q").applyInArrow(lambda t: _confirm(t, percent), "a long, b long"), "found")
     return labels if more.isEmpty() else table(components(links.unionByName(more)), "labels")
 
 
@@ -325,9 +330,9 @@ def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return table(_among(texts, "doc_id", ids).dropDuplicates(["doc_id"]), "texts")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """`docs` without the near duplicates: of each component the document with the least id stays."""
-    found = table(link(docs, id_col, text_col), "linked")
+    found = table(link(docs, id_col, text_col, percent), "linked")
     again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     gone = found.where("NOT kept").select(F.col("doc_id").alias("_nd_id")).distinct()
     rest = docs.join(gone, docs[id_col].cast("long") == gone["_nd_id"], "left_anti")

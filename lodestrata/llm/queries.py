@@ -71,7 +71,7 @@ def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.link(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near_dedup.link(read(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
