@@ -16,10 +16,17 @@ from pyspark.sql import functions as F
 ARROW_ROWS, ARROW_BYTES = 2000, 32 << 20
 
 
+#: Ids (8 bytes each) up to which they are broadcast to meet longer rows; beyond, both sides are dealt by id.
+FEW_IDS = 2_000_000
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor shares: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder every executor shares: spark.checkpoint.dir, or one of our own where that is unset and all run on this machine (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="lodestrata-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -27,10 +34,47 @@ def shared_dir(spark: SparkSession) -> str:
 
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts the lineage, and a lost executor loses none of it."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession).table(df, name)
+
+
+class Scratch:
+    """Tables of one job in the shared folder, removed when they are no longer read."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.held = spark, []
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """Write `df` and read it back; the shuffle files of the writing job go with its end."""
+        path = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(_CLEANUP)
+            else:
+                self.spark.conf.set(_CLEANUP, before)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.held.append((out, path))
+        return out
+
+    def drop(self, *keep: DataFrame) -> None:
+        """Remove the tables that are not among `keep`."""
+        jvm, conf, rest = self.spark._jvm, self.spark._jsc.hadoopConfiguration(), []
+        for df, path in self.held:
+            if any(df is x for x in keep):
+                rest.append((df, path))
+            else:
+                at = jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(conf).delete(at, True)
+        self.held = rest
+
+
+def dealt(rows: DataFrame, ids: DataFrame, key: str | list[str], how: str) -> DataFrame:
+    """`rows` joined with the few columns of `ids` by `key`: `ids`, a written table of numbers, is broadcast while it holds
+    few values, so that long rows do not move to meet it; else both are dealt by key."""
+    return rows.join(F.broadcast(ids) if ids.count() * len(ids.columns) <= FEW_IDS else ids.hint("merge"), key, how)
 
 
 def bound_batches(spark: SparkSession) -> None:
