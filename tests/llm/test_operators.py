@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from lodestrata.llm import chat_format, fingerprints, license_scan, near_dedup, packing, quality_knn, queries, secret_scan, spm_codec, token_counts, topk_search
 
@@ -119,16 +120,62 @@ def test_packing_is_whole_and_gapless(docs, texts, none):
     assert packing.pack(packing.tokenize(none, WORD_BPE)).isEmpty()
 
 
-def test_packing_merges_bins_of_many_partitions(spark):
-    rnd = random.Random(7)
-    items = spark.createDataFrame([(k, rnd.randint(1, 99)) for k in range(400)], "k long, length long").repartition(40)
-    rows = packing.pack(items, capacity=100).collect()
-    fills: dict = {}
+def sequences(rows, capacity):
+    """Number of sequences, each checked to be gapless from 0 and within the capacity."""
+    by: dict = {}
     for r in rows:
-        fills[r.sequence_id] = fills.get(r.sequence_id, 0) + r.length
-    assert len(rows) == 400 and max(fills.values()) <= 100
-    assert len(fills) <= 1.15 * len(packing.best_fit([r.length for r in rows], 100)[2])
-    assert packing.assemble is not None
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by)
+
+
+@pytest.mark.parametrize("capacity,chunk", [(100, 200_000), (2048, 200_000), (100, 7)])
+def test_packing_merges_bins_of_many_partitions(spark, monkeypatch, capacity, chunk):
+    monkeypatch.setattr(packing, "CHUNK", chunk)  # a partition's chunks meet as well
+    monkeypatch.setattr(packing, "SLACK", 1)
+    rnd = random.Random(7)
+    sizes = [rnd.choice([rnd.randint(1, capacity), rnd.randint(1, capacity // 4)]) for _ in range(900)]
+    for parts in (1, 70):
+        items = spark.createDataFrame([(k, x, "own") for k, x in enumerate(sizes)], "bin long, length long, _fill string").repartition(parts)
+        rows = packing.pack(items, capacity=capacity).collect()
+        assert sorted(r.bin for r in rows) == list(range(900)) and all(r.length == sizes[r.bin] and r._fill == "own" for r in rows)
+        assert sequences(rows, capacity) <= 1.08 * len(packing.best_fit(sizes, capacity)[2])
+
+
+def test_no_bin_is_left_behind(spark, monkeypatch):
+    """Nodes with tens of thousands of underfull bins, half of which each fit beside one of the others."""
+    monkeypatch.setattr(packing, "CHUNK", 1)
+    n = 25_000
+    items = spark.range(2 * n, numPartitions=3).select("id", F.when(F.col("id") % 2 == 0, 1300).otherwise(700).cast("long").alias("length"))
+    rows = packing.pack(items)
+    assert rows.count() == 2 * n and rows.select("sequence_id").distinct().count() == n
+    assert rows.groupBy("sequence_id").agg(F.sum("length").alias("fill"), F.max("offset").alias("top")).where("fill <> 2000 OR top NOT IN (700, 1300)").isEmpty()
+
+
+def test_best_fit_by_counts_equals_best_fit():
+    rnd = random.Random(14)
+    for _ in range(60):
+        capacity = rnd.choice([7, 100, 2048])
+        sizes = [rnd.randint(1, rnd.choice([capacity, capacity // 2])) for _ in range(rnd.randint(0, 300))]
+        made = packing.best_fit_counts({x: sizes.count(x) for x in set(sizes)}, capacity)
+        assert sorted(packing.best_fit(sizes, capacity)[2]) == sorted(b.fill for b in made for _ in range(b.count))
+
+
+def test_word_parts_encode_as_the_tokenizer_does():
+    import pyarrow as pa
+
+    encoder, rnd = packing.WordEncoder(WORD_BPE), random.Random(15)
+    many = ["a\x1cb  c", "\x85x\xa0y", "", " ", "İstanbul ß ǅ don't it's 12ab, ab12. «x» naïve— é", "x\x1f", "Σίσυφος ΑΣ"]
+    many += ["".join(rnd.choice("ab C,.'ÀéŁĲŉſ 1\n\tKªǅ") for _ in range(rnd.randint(0, 60))) for _ in range(500)]
+    for _ in range(2):
+        ids, counts = encoder.encode_batch(pa.array(many))
+        want = [[*encoder.tokenizer.encode(x, add_special_tokens=False).ids, 0] for x in many]
+        assert ids.tolist() == [k for x in want for k in x] and counts.tolist() == list(map(len, want))
 
 
 def test_license_scan(docs, texts, none):
