@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.llm import near_dedup, packing, quality_knn, secret_scan
-from lodestrata.llm.common import read, table
-
-_SCORE = "_quality_score"
-
+from lodestrata.llm.common import Scratch, read
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the labels that are not held out."""
     model = quality_knn.fit(docs, read(spark, sf_dir, "labels"))
-    return quality_knn.score(docs, model, score_col=_SCORE).where(F.col(_SCORE) >= 0.5).drop(_SCORE)
+    score = "_quality_score"
+    while score in docs.columns:
+        score += "_"
+    return quality_knn.score(docs, model, score_col=score).where(F.col(score) >= 0.5).drop(score)
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,12 +45,11 @@ STAGES = [("quality", quality), ("near_dedup", dedup), ("secrets", secrets), ("p
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written as a table that the next one reads."""
-    docs = read(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES):
-            docs = table(docs, name)
+    """All stages over `documents`, each written as a table that the next one reads and that goes when it has been read."""
+    docs, scratch = read(spark, sf_dir, "documents"), Scratch(spark)
+    for name, stage in STAGES:
+        docs = scratch.table(stage(spark, docs, sf_dir), name)
+        scratch.drop(docs)
     return docs
 
 
