@@ -46,11 +46,13 @@ def entries(text: Column) -> Column:
     """The distinct digests of a text's paragraphs, each with its check and the bits of its three cells."""
     parts = F.filter(F.split(text, r"\n+|(?<=[.!?]) +"), lambda p: p != "")
 
-    def entry(key: Column) -> Column:
-        bit = lambda k: F.call_function("shiftleft", F.lit(1), (F.shiftright(key, 3 * k).bitwiseAND(F.lit(7).cast("long")) + 8 * k).cast("int"))
-        return F.struct(key.alias("key"), F.hash(key).alias("check"), bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2)).alias("cells"))
+    return F.transform(F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p))), lambda key: F.struct(key.alias("key"), F.hash(key).alias("check"), _cells_of(key).alias("cells")))
 
-    return F.transform(F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p))), entry)
+
+def _cells_of(key: Column) -> Column:
+    """The bits of a digest's three cells."""
+    bit = lambda k: F.call_function("shiftleft", F.lit(1), (F.shiftright(key, 3 * k).bitwiseAND(F.lit(7).cast("long")) + 8 * k).cast("int"))
+    return bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2))
 
 
 def _bits() -> Column:
@@ -76,22 +78,23 @@ def subtract(a: Column, b: Column) -> Column:
 
 
 def peel(cells: Column) -> Column:
-    """(cells, found): what is left of the cells, and the digests that were recovered with the sign of their side."""
-    start = F.struct(cells.alias("cells"), F.array().cast(_FOUND).alias("found"))
+    """(cells, found, on): what is left of the cells, and the digests that were recovered with the sign of their side."""
+    start = F.struct(cells.alias("cells"), F.array().cast(_FOUND).alias("found"), F.lit(True).alias("on"))
 
     def turn(state: Column, _: Column) -> Column:
         pure = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == F.hash(c["key"])))
-        fresh = F.array_distinct(F.transform(pure, lambda c: F.struct(c["n"].alias("sign"), c["key"].alias("key"))))
+        fresh = F.array_distinct(F.transform(pure, lambda c: F.struct(c["n"].alias("sign"), c["key"].alias("key"), c["check"].alias("check"), _cells_of(c["key"]).alias("cells"))))
 
         def take(fresh: Column) -> Column:
-            def empty(c: Column, at: Column) -> Column:
-                mine = lambda key: F.call_function("shiftright", key, (F.floor(at / 8) * 3).cast("int")).bitwiseAND(F.lit(7).cast("long")) == at % 8
-                less = lambda c, f: F.struct((c["n"] - f["sign"]).alias("n"), c["key"].bitwiseXOR(f["key"]).alias("key"), c["check"].bitwiseXOR(F.hash(f["key"])).alias("check"))
-                return F.aggregate(fresh, c, lambda c, f: F.when(mine(f["key"]), less(c, f)).otherwise(c))
+            def empty(c: Column, bit: Column) -> Column:
+                less = lambda c, f: F.struct((c["n"] - f["sign"]).alias("n"), c["key"].bitwiseXOR(f["key"]).alias("key"), c["check"].bitwiseXOR(f["check"]).alias("check"))
+                return F.aggregate(fresh, c, lambda c, f: F.when(f["cells"].bitwiseAND(bit) != 0, less(c, f)).otherwise(c))
 
-            return F.struct(F.transform(state["cells"], empty).alias("cells"), F.concat(state["found"], fresh).alias("found"))
+            found = F.concat(state["found"], F.transform(fresh, lambda f: F.struct(f["sign"].alias("sign"), f["key"].alias("key"))))
+            return F.struct(F.zip_with(state["cells"], _bits(), empty).alias("cells"), found.alias("found"), F.lit(True).alias("on"))
 
-        return _let(fresh, lambda x: F.when(F.size(x) == 0, state).otherwise(take(x)))
+        still = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(False).alias("on"))
+        return F.when(state["on"], _let(fresh, lambda x: F.when(F.size(x) == 0, still).otherwise(take(x)))).otherwise(state)
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn)
 
@@ -121,7 +124,7 @@ def difference(a: Column, b: Column, level: int = 0, cells: tuple[Column, Column
 
     own = cells or (sketch(a), sketch(b))
     both = F.coalesce(_let(subtract(*own), attempt), larger(a, b))  # the second is only evaluated where the first failed
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.array().cast(_FOUND)).otherwise(both)
+    return F.when(a == b, F.array().cast(_FOUND)).otherwise(both)
 
 
 def likeness(a: Column, b: Column, differing: Column) -> Column:
@@ -136,8 +139,9 @@ def fingerprint(cells: Column, of: Column) -> Column:
     return F.concat_ws(":", F.size(of), F.array_join(each, ":"))
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, next_text): the text of the next row in descending id; after the last comes the first."""
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketched: bool = False) -> DataFrame:
+    """(doc_id, text, next_text): the text of the next row in descending id; after the last comes the first. If `sketched`,
+    also own and next_own: the (entries, cells) of both."""
     least = -(2**63)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("sid"))
     n = rows.count()
@@ -156,9 +160,12 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     w = Window.orderBy("range")
     up = tops.select("range", "sid", F.coalesce(F.lead("range").over(w), F.first("range").over(w)).alias("up"))
     ghosts = ranged.join(F.broadcast(up), ["range", "sid"]).select("doc_id", "text", "sid", F.col("up").alias("range"), F.lit(1).alias("ghost"))
-    both = ranged.select("doc_id", "text", "sid", "range", F.lit(0).alias("ghost")).unionByName(ghosts)
+    both = ranged.select("doc_id", "text", "sid", "range", F.lit(0).alias("ghost")).unionByName(ghosts).repartition("range")
+    if sketched:  # where the rows lie now, so that neither moves; each text is hashed once for itself and as a next one
+        both = both.withColumn("own", _let(entries(F.col("text")), lambda e: F.struct(e.alias("entries"), sketch(e).alias("cells"))))
     order = Window.partitionBy("range").orderBy("ghost", F.desc("sid"), "text")
-    return both.withColumn("next_text", F.lead("text").over(order)).where("ghost = 0").select("doc_id", "text", "next_text")
+    led = [F.lead(x).over(order).alias(f"next_{x}") for x in ("text", "own")[: 1 + sketched]]
+    return both.select(*(("doc_id", "text", "own") if sketched else ("doc_id", "text")), "ghost", *led).where("ghost = 0").drop("ghost")
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -169,14 +176,16 @@ def edited(text: Column, following: Column) -> Column:
 
 def compare_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of each text and its edited version, and the digests by which it differs from that and from the next text."""
-    paired = with_next(docs, id_col, text_col).withColumn("edited_text", edited(F.col("text"), F.col("next_text")))
-    names = ("text", "edited_text", "next_text")
-    hashed = paired.select("doc_id", *names, *(entries(F.col(x)).alias(f"{x}_entries") for x in names))
-    cells = hashed.select("*", *(sketch(F.col(f"{x}_entries")).alias(f"{x}_cells") for x in names))
-    own, cell = (lambda x: F.col(f"{x}_entries")), (lambda x: F.col(f"{x}_cells"))
-    return cells.select(
-        "doc_id", *names,
-        fingerprint(cell("text"), own("text")).alias("fingerprint"), fingerprint(cell("edited_text"), own("edited_text")).alias("edited_fingerprint"),
-        *(F.size(own(x)).alias(f"{x}_paragraphs") for x in names),
-        *(difference(own("text"), own(x), cells=(cell("text"), cell(x))).alias(f"{x}_difference") for x in names[1:]),
+    paired = with_next(docs, id_col, text_col, sketched=True).withColumn("edited_text", edited(F.col("text"), F.col("next_text")))
+    hashed = paired.withColumn("edited_own", _let(entries(F.col("edited_text")), lambda e: F.struct(e.alias("entries"), sketch(e).alias("cells"))))
+    own = {"text": F.col("own"), "edited_text": F.col("edited_own"), "next_text": F.col("next_own")}
+
+    def differing(x: Column) -> Column:
+        return difference(own["text"]["entries"], x["entries"], cells=(own["text"]["cells"], x["cells"]))
+
+    return hashed.select(
+        "doc_id", *own,
+        fingerprint(own["text"]["cells"], own["text"]["entries"]).alias("fingerprint"), fingerprint(own["edited_text"]["cells"], own["edited_text"]["entries"]).alias("edited_fingerprint"),
+        *(F.size(x["entries"]).alias(f"{name}_paragraphs") for name, x in own.items()),
+        *(differing(own[name]).alias(f"{name}_difference") for name in ("edited_text", "next_text")),
     )
