@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from lodestrata import fixtures as fx
 from lodestrata.functions.ids import node_id
 from lodestrata.functions.pic import CANONICAL, java_type, normalize_pic
+from lodestrata.functions.text import groups
 from lodestrata.functions.rewrite import camel_case, cics_call, file_call, mq_call, perform_call, predicate, program_type
 from lodestrata.operators import expand, extract, graph, structure
-from lodestrata.operators.windows import adjacent_pairs, by, carry_forward, clamped, first_wins, lookahead, running
+from lodestrata.operators.windows import adjacent_pairs, block_numbers, by, carry_forward, clamped, first_wins, lookahead, running
 from lodestrata.plans import api, ir, reports, store
 from lodestrata.sources import catalogs
-from lodestrata.sources.lines import line_table
+from lodestrata.sources.lines import line_table, prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,21 +57,25 @@ def first_wins_dedup(spark, d):
 
 @bind("SELECT c_custkey, c_name FROM customer WHERE upper(c_mktsegment) = upper('building')")
 def case_insensitive_lookup(spark, d):
-    return t(spark, d, "customer").where(api.same("c_mktsegment", "building")).select("c_custkey", "c_name")
+    return api.either(t(spark, d, "customer"), {"c_mktsegment": "building"}).select("c_custkey", "c_name")
 
 
 @bind("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1 OR n_nationkey = 3")
 def or_neighbours(spark, d):
-    return t(spark, d, "nation").where("n_regionkey = 1 OR n_nationkey = 3").select("n_nationkey", "n_name")
+    return api.either(t(spark, d, "nation"), {"n_regionkey": "1", "n_nationkey": "3"}).select("n_nationkey", "n_name")
 
 
-@bind("SELECT s_suppkey, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON upper(r_name) = upper((SELECT x.r_name FROM region x WHERE x.r_regionkey = n_regionkey))")
+@bind("""
+    WITH names AS (SELECT n_name AS name, 'N' || n_nationkey AS id FROM nation UNION ALL SELECT r_name, 'R' || r_regionkey FROM region),
+    e AS (SELECT n_nationkey, lower(n_name) AS a, CASE WHEN n_nationkey % 3 = 0 THEN 'nowhere' ELSE r_name END AS b FROM nation JOIN region ON n_regionkey = r_regionkey)
+    SELECT n_nationkey, x.id AS from_id, y.id AS to_id FROM e LEFT JOIN names x ON upper(x.name) = upper(a) LEFT JOIN names y ON upper(y.name) = upper(b)""")
 def double_left_resolve(spark, d):
-    named = t(spark, d, "nation").join(t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    edges = t(spark, d, "supplier").join(named.select("n_nationkey", "n_name", "r_name"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
-    names = named.select(F.col("n_name").alias("name"), F.lit(1).alias("id")).distinct()
-    regions = graph.double_resolve(edges.select("s_suppkey", F.lower("n_name").alias("a"), F.upper("n_name").alias("b"), "n_name", "r_name"), "a", "b", names, "name", [], "id")
-    return regions.select("s_suppkey", "n_name", "r_name")
+    nation, region = t(spark, d, "nation"), t(spark, d, "region")
+    one = lambda df, name, mark, key: df.select(F.col(name).alias("name"), F.concat(F.lit(mark), key).alias("id"))
+    names = one(nation, "n_name", "N", "n_nationkey").unionByName(one(region, "r_name", "R", "r_regionkey"))
+    to = F.when(F.col("n_nationkey") % 3 == 0, "nowhere").otherwise(F.col("r_name"))
+    edges = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.lower("n_name").alias("a"), to.alias("b"))
+    return graph.double_resolve(edges, "a", "b", names, "name", [], "id").select("n_nationkey", "from_id", "to_id")
 
 
 @bind("SELECT o_orderkey, count(*) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey AND l_shipdate BETWEEN o_orderdate AND o_orderdate + INTERVAL 30 DAY GROUP BY 1")
@@ -81,7 +86,7 @@ def range_join(spark, d):
 
 
 @bind("""
-    WITH p AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'N' AND l_quantity >= 48), c AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 48)
+    WITH p AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'N'), c AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'R')
     SELECT p.l_suppkey AS producer_job, c.l_suppkey AS consumer_job, p.l_partkey AS dataset_name, 'N' AS producer_disp, 'R' AS consumer_disp FROM p JOIN c USING (l_partkey) WHERE p.l_suppkey <> c.l_suppkey""")
 def producer_consumer_deps(spark, d):
     return graph.dependencies(t(spark, d, "lineitem"), "l_suppkey", "l_partkey", "l_returnflag", ("N",), ("R",))
@@ -108,13 +113,14 @@ def unaccessed_except(spark, d):
 
 @bind("SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
 def dead_targets_anti(spark, d):
-    return t(spark, d, "documents").select("doc_id").join(t(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
+    return graph.never_targeted(t(spark, d, "documents").select("doc_id"), "doc_id", t(spark, d, "labels"), "doc_id")
 
 
 @bind("""
-    WITH e AS (SELECT DISTINCT o_custkey AS g, o_orderstatus, o_orderpriority FROM orders WHERE o_custkey < 200), n AS (SELECT g, count(*) AS n FROM e GROUP BY 1),
-    s AS (SELECT x.g AS a, y.g AS b, count(*) AS shared FROM e x JOIN e y USING (o_orderstatus, o_orderpriority) WHERE x.g < y.g GROUP BY 1, 2)
-    SELECT a, b, shared, round(shared / (p.n + q.n - shared), 3) AS similarity FROM s JOIN n p ON p.g = a JOIN n q ON q.g = b WHERE shared / (p.n + q.n - shared) >= 0.6""")
+    WITH c AS (SELECT o_custkey AS g, list_sort(list(DISTINCT o_orderstatus || '|' || o_orderpriority)) AS s FROM orders GROUP BY 1), r AS (SELECT s, min(g) AS rep FROM c GROUP BY 1),
+    p AS (SELECT x.rep AS a, y.rep AS b, len(list_intersect(x.s, y.s)) AS shared, len(x.s) + len(y.s) AS n FROM r x JOIN r y ON x.rep < y.rep)
+    SELECT a, b, shared::BIGINT AS shared, round(shared / (n - shared), 3) AS similarity, 'pair' AS kind FROM p WHERE shared / (n - shared) >= 0.6
+    UNION ALL SELECT rep, g, len(s)::BIGINT, 1.0, 'member' FROM c JOIN r USING (s) WHERE g <> rep""")
 def clone_jaccard(spark, d):
     # customers with equal sets are one class: pairs of its least members, and a row from that member to each of the others
     pairs, members = graph.jaccard_classes(t(spark, d, "orders"), "o_custkey", ["o_orderstatus", "o_orderpriority"], 0.6)
@@ -127,7 +133,7 @@ def clone_jaccard(spark, d):
     FROM (SELECT event_type, (props->>'$.k')::BIGINT AS k FROM events) GROUP BY 1""")
 def json_type_distribution(spark, d):
     rows = t(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").try_cast("long"))
-    return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.count("k").alias("with_k"), F.count_if(F.col("k") % 2 == 0).alias("even_k"), F.sum(F.when(F.col("k") < 10, 1).otherwise(0)).alias("small_k"))
+    return reports.tally(rows, "event_type", with_k=F.col("k").isNotNull(), even_k=F.col("k") % 2 == 0, small_k=F.col("k") < 10)
 
 
 @bind("SELECT o_custkey, count(*) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1 ORDER BY n DESC, o_custkey LIMIT 5")
@@ -178,11 +184,9 @@ def carry_forward_header(spark, d):
     e AS (SELECT s.user_id, s.event_id, s.ts, min(p.ts) AS stop FROM s LEFT JOIN events p ON p.user_id = s.user_id AND p.event_type = 'purchase' AND p.ts > s.ts GROUP BY 1, 2, 3)
     SELECT user_id, min(event_id) AS block, count(*) AS n FROM (SELECT *, first_value(event_id) OVER (PARTITION BY user_id, stop ORDER BY ts) AS b FROM e) GROUP BY user_id, b""")
 def block_collect(spark, d):
-    # starts that share the next end belong to one block: the first of them opens it
-    w = by("user_id", ["ts", "event_id"])
-    rows = t(spark, d, "events").withColumn("ends", F.coalesce(running(F.col("event_type") == "purchase", w), F.lit(0)))
-    starts = rows.where("event_type = 'signup'")
-    return starts.groupBy("user_id", "ends").agg(F.min_by("event_id", "ts").alias("opens"), F.min("event_id").alias("block"), F.count("*").alias("n")).select("user_id", "block", "n")
+    rows = t(spark, d, "events")
+    found = block_numbers(rows, F.col("event_type") == "signup", F.col("event_type") == "purchase", by("user_id", ["ts", "event_id"]), "block_n")
+    return found.where("event_type = 'signup'").groupBy("user_id", "block_n").agg(F.min("event_id").alias("block"), F.count("*").alias("n")).select("user_id", "block", "n")
 
 
 @bind("""
@@ -218,7 +222,7 @@ def line_table_documents(spark, d):
 
 @bind("SELECT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS href FROM pages")
 def regex_extract_all(spark, d):
-    return t(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("href"))
+    return t(spark, d, "pages").select("page_id", F.explode(groups("html", 'href="([^"]*)"')).alias("href"))
 
 
 @bind("SELECT page_id, split_part(kv, '=', 1) AS key, split_part(kv, '=', 2) AS value FROM (SELECT page_id, unnest(string_split(split_part(url, '?', 2), '&')) AS kv FROM pages WHERE contains(url, '?'))")
@@ -236,7 +240,7 @@ def gdg_registry(spark, d):
 
 
 @bind("""
-    WITH RECURSIVE e AS (SELECT DISTINCT p_size AS target, (p_size * 7 + p_partkey) % 11 AS source FROM part WHERE p_partkey < 40 AND p_size <> (p_size * 7 + p_partkey) % 11),
+    WITH RECURSIVE e AS (SELECT DISTINCT p_size AS target, (p_size * 7 + p_partkey) % 11 AS source FROM part WHERE p_size <> (p_size * 7 + p_partkey) % 11),
     w AS (SELECT DISTINCT target AS root, target AS place, 0 AS d FROM e UNION SELECT root, e.source, d + 1 FROM w JOIN e ON e.target = w.place WHERE d <= 5)
     SELECT DISTINCT root::BIGINT AS root, place::BIGINT AS origin FROM w WHERE d > 5 OR place NOT IN (SELECT target FROM e)""")
 def lineage_origins(spark, d):
@@ -245,8 +249,8 @@ def lineage_origins(spark, d):
 
 
 @bind("""
-    SELECT "table", id, name FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY prio) AS rn FROM (SELECT 0 AS prio, 'customer' AS "table", c_custkey AS id, c_name AS name FROM customer WHERE c_custkey <= 300
-    UNION ALL SELECT 1, 'supplier', s_suppkey, s_name FROM supplier WHERE s_suppkey <= 300 UNION ALL SELECT 2, 'part', p_partkey, p_name FROM part WHERE p_partkey <= 300)) WHERE rn = 1""")
+    SELECT "table", id, name FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY prio) AS rn FROM (SELECT 0 AS prio, 'customer' AS "table", c_custkey AS id, c_name AS name FROM customer
+    UNION ALL SELECT 1, 'supplier', s_suppkey, s_name FROM supplier UNION ALL SELECT 2, 'part', p_partkey, p_name FROM part)) WHERE rn = 1""")
 def priority_union(spark, d):
     sides = (("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name"), ("part", "p_partkey", "p_name"))
     rows = reduce(DataFrame.unionByName, (t(spark, d, n).select(F.lit(p).alias("prio"), F.lit(n).alias("table"), F.col(k).alias("id"), F.col(c).alias("name")) for p, (n, k, c) in enumerate(sides)))
@@ -277,7 +281,7 @@ def graph_degrees(spark, d):
 
 
 @bind("""
-    WITH RECURSIVE w AS (SELECT 1::BIGINT AS node, 0 AS hops UNION SELECT l.l_partkey % 200, hops + 1 FROM w JOIN lineitem l ON l.l_suppkey = w.node WHERE hops < 3)
+    WITH RECURSIVE w AS (SELECT 1::BIGINT AS node, 0 AS hops UNION SELECT l.l_partkey, hops + 1 FROM w JOIN lineitem l ON l.l_suppkey = w.node WHERE hops < 3)
     SELECT node, min(hops) AS hops FROM w GROUP BY 1""")
 def k_hop_reach(spark, d):
     edges = t(spark, d, "lineitem").select("l_suppkey", "l_partkey")
@@ -308,20 +312,25 @@ def fixture(columns: str, rows: list[tuple]) -> Callable[[Query], Query]:
 
     names, kinds = zip(*(c.strip().split() for c in columns.split(",")), strict=True)
     values = ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in rows)
-    return bind(f"SELECT {', '.join(f'{n}::{k} AS {n}' for n, k in zip(names, kinds, strict=True))} FROM (VALUES {values}) v({', '.join(names)})")
+    quoted = [f'"{n}"' for n in names]
+    return bind(f"SELECT {', '.join(f'{n}::{k} AS {n}' for n, k in zip(quoted, kinds, strict=True))} FROM (VALUES {values}) v({', '.join(quoted)})")
+
 
+# the fixture is a few kilobytes: read, expanded and stored once for a session, as rows without the plans that made them
 
-# the fixture is a few kilobytes: read, expanded and stored once for a session
+
+def _settled(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame(df.collect(), df.schema).coalesce(1)
 
 
 @lru_cache(maxsize=1)
 def _programs(spark):
-    return fx.lines(spark, fx.PROGRAMS).coalesce(1).persist()
+    return _settled(prepared(fx.lines(spark, fx.PROGRAMS)))
 
 
 @lru_cache(maxsize=1)
 def _full(spark):
-    return expand.expand(_programs(spark), fx.lines(spark, fx.COPYBOOKS, "name")).coalesce(1).persist()
+    return _settled(expand.expand(_programs(spark), fx.lines(spark, fx.COPYBOOKS, "name")))
 
 
 def _text(c):
@@ -511,7 +520,9 @@ def token_comments(spark, d):
 
 @lru_cache(maxsize=1)
 def _store(spark) -> dict[str, DataFrame]:
-    return {k: df.coalesce(1).persist() for k, df in store.build(fx.sources(spark), _full(spark)).items()}
+    src = fx.sources(spark)
+    src.programs = _programs(spark)
+    return {k: _settled(df) for k, df in store.build(src, _full(spark)).items()}
 
 
 COUNTS = {
@@ -572,9 +583,10 @@ def route_def_use(spark, d):
     return api.def_use(_store(spark), "FIXA01C").select("variable", F.size("reads").alias("reads"), F.size("writes").alias("writes"))
 
 
-@bind("SELECT 'x' AS name WHERE false")
+@fixture("name VARCHAR, source_file VARCHAR", [("9000-CLOSE", "FIXA01C.cbl")])
 def report_unperformed(spark, d):
-    return reports.unperformed(_store(spark)).select("name")
+    s = _store(spark)
+    return reports.unperformed({**s, "control_flow": s["control_flow"].where("to_uuid <> '9000-CLOSE'")}).select("name", "source_file")
 
 
 @fixture("chart VARCHAR, n BIGINT", [("call_graph", 6), ("transaction_flow", 2), ("jcl_chain", 3), ("file_io", 4)])
@@ -604,17 +616,5 @@ def test_seeds(spark, d):
     return rows.select("name", F.col("case").alias("case_"), "value")
 
 
-@bind()
-def slice_text(spark, d):
-    s, p = _store(spark), _programs(spark)
-    return ir.slices(ir.slice_rows(s, extract.cics(p), extract.comments(extract.tokens(p))))
-
-
-@bind()
-def prompt_summary(spark, d):
-    s = _store(spark)
-    return ir.prompt_summary(ir.fields(s), ir.methods(s, extract.cics(_programs(spark))), ir.rules(s), ir.io(s))
-
-
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     return producer_consumer_deps(spark, d)

@@ -34,6 +34,11 @@ def matches(x: Column | str, pattern: str) -> Column:
     return as_col(x).rlike(pattern)
 
 
+def json_map(x: Column | str) -> Column:
+    """The values of a JSON object by key; of what is null or no JSON, an empty map."""
+    return F.coalesce(F.from_json(as_col(x), "map<string,string>"), F.create_map().cast("map<string,string>"))
+
+
 def none_if_empty(x: Column) -> Column:
     return F.when(x != "", x)
 

@@ -102,6 +102,22 @@ def summary(expanded: DataFrame) -> DataFrame:
     )
 
 
+def line_origin(expanded: DataFrame, source_file: str, line: int) -> DataFrame:
+    """Where a line of an expanded program comes from."""
+    return expanded.where((F.col("source_file") == source_file) & (F.col("expanded_line_num") == line))
+
+
+def copybook_lines(expanded: DataFrame, source_file: str, copybook: str) -> DataFrame:
+    return expanded.where((F.col("source_file") == source_file) & (F.upper("copybook") == copybook.upper())).orderBy("expanded_line_num")
+
+
+def with_stubs(copybooks: DataFrame, stubs: DataFrame) -> DataFrame:
+    """`copybooks` and the lines of those stubs (name, line_num, line) whose copybook is absent."""
+    have = copybooks.select(F.upper("name").alias("_n")).distinct()
+    absent = stubs.join(have, F.upper(stubs["name"]) == have["_n"], "left_anti")
+    return copybooks.select("name", "line_num", "line").unionByName(absent.select("name", "line_num", "line"))
+
+
 def strip_dli(lines: DataFrame) -> DataFrame:
     """Lines with EXEC DLI ... END-EXEC turned into comments; a block on one line stays open until a later END-EXEC."""
     w = by("source_file", "line_num")

@@ -35,6 +35,17 @@ def origins(edges: DataFrame, roots: DataFrame, target: str = "target", source:
     return reduce(DataFrame.unionByName, done).distinct()
 
 
+def output_origins(moves: DataFrame, prefixes: tuple[str, ...], most: int = 50, depth: int = 5) -> DataFrame:
+    """(root, origin) of output variables: of the first `most` targets, by first appearance, those that begin with a prefix,
+    where they come from something other than themselves alone."""
+    edges = lineage(moves)
+    first = edges.groupBy("target").agg(F.min(F.struct("source_file", "line", "target")).alias("at")).orderBy("at").limit(most)
+    roots = first.where(reduce(lambda a, b: a | b, (F.col("target").startswith(p) for p in prefixes))).select("target")
+    found = origins(edges, roots, depth=depth)
+    other = found.groupBy("root").agg(F.count_if(F.col("origin") != F.col("root")).alias("n")).where("n > 0").select("root")
+    return found.join(other, "root", "left_semi")
+
+
 def reach(edges: DataFrame, seeds: DataFrame, source: str, target: str, hops: int) -> DataFrame:
     """(node, hops): nodes that the seeds reach within `hops` steps, each at its least distance."""
     steps = edges.select(F.col(source).alias("node"), F.col(target).alias("next")).distinct()

@@ -54,6 +54,22 @@ def adjacent_pairs(values: Column) -> Column:
     return F.when(n > 1, F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), pair)).otherwise(F.transform(F.slice(values, 1, 0), lambda x: F.struct(x.alias("a"), x.alias("b"))))
 
 
+def block_numbers(df: DataFrame, start: Column, end: Column, w: WindowSpec, name: str) -> DataFrame:
+    """`df` with the number of the block that a row lies in (from 1 in each group of `w`), null outside.
+
+    A block ends at the first end after its start, or never; a start within an open block is no start. So after a row
+    with just one of the flags the state is known, and rows with both turn it over: a parity since the last known state.
+    """
+    s, e = F.coalesce(start, F.lit(False)), F.coalesce(end, F.lit(False))
+    rows = df.withColumns({"_s": s, "_known": F.when(s != e, s), "_turns": F.sum((s & e).cast("long")).over(upto(w))})
+    rows = rows.withColumns({"_state": F.last("_known", ignorenulls=True).over(upto(w)), "_since": F.last(F.when(F.col("_known").isNotNull(), F.col("_turns")), ignorenulls=True).over(upto(w))})
+    turned = (F.col("_turns") - F.coalesce("_since", F.lit(0))) % 2 == 1
+    rows = rows.withColumn("_open", F.coalesce("_state", F.lit(False)) != turned)
+    rows = rows.withColumn("_was", F.coalesce(F.lag("_open").over(w), F.lit(False)))
+    rows = rows.withColumn("_n", F.sum((F.col("_s") & ~F.col("_was")).cast("long")).over(upto(w)))
+    return rows.withColumn(name, F.when(F.col("_s") | F.col("_was"), F.col("_n"))).drop("_s", "_known", "_turns", "_state", "_since", "_open", "_was", "_n")
+
+
 def blocks(starts: Column, ends: Column) -> Column:
     """(start, end) of the blocks of one file from its sorted arrays of start and end lines.
 

@@ -133,6 +133,14 @@ def _pad(c: Column | str, n: int, left: bool = False) -> Column:
     return F.when(F.length(c) >= n, c).otherwise(F.lpad(c, n, " ") if left else F.rpad(c, n, " "))
 
 
+def slice_extras(s: Store, moves: DataFrame) -> DataFrame:
+    """(program, part, ord, text): the two parts of a slice that its text does not show, its transactions and its first 20 moves."""
+    tx = s["transaction_flow"].select(F.upper("from_program_uuid").alias("program"), F.lit("transaction_flow").alias("part"), F.struct("line_num", "id").alias("o"), F.concat_ws(" ", "edge_type", F.coalesce("transid", F.lit("")), F.coalesce("to_program_uuid", F.lit(""))).alias("text"))
+    mv = moves.select(F.upper("program").alias("program"), F.lit("move_chains").alias("part"), F.struct(F.col("line").alias("line_num"), F.col("source").alias("id")).alias("o"), F.concat(F.col("source"), F.lit(" -> "), F.array_join("targets", ",")).alias("text"))
+    rows = tx.unionByName(mv).withColumn("ord", F.row_number().over(by(["program", "part"], "o")))
+    return rows.where("part <> 'move_chains' OR ord <= 20").select("program", "part", "ord", "text")
+
+
 def slice_rows(s: Store, screens: DataFrame, comments: DataFrame) -> DataFrame:
     """(program, section, ord, text): the lines of every program's context slice, in ten sections with their limits."""
 

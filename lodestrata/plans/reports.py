@@ -66,8 +66,68 @@ def copybook_totals(s: Store, most: int = 10) -> DataFrame:
 
 
 def shared_files(s: Store, most: int = 10) -> DataFrame:
-    """Files that the most programs use; ties by name."""
-    return s["file_io"].groupBy("file_name").agg(F.count_distinct("program_uuid").alias("programs")).orderBy(F.desc("programs"), "file_name").limit(most)
+    """Files that the most programs use; ties by first appearance."""
+    found = s["file_io"].groupBy("file_name").agg(F.count_distinct("program_uuid").alias("programs"), F.min(F.struct("source_file", "line_num")).alias("first"))
+    return found.orderBy(F.desc("programs"), "first", "file_name").drop("first").limit(most)
+
+
+def tally(rows: DataFrame, kind: str, **flags: Column) -> DataFrame:
+    """Rows of each kind, and how many of them have each flag."""
+    return rows.groupBy(kind).agg(F.count("*").alias("n"), *(F.count_if(c).alias(k) for k, c in flags.items()))
+
+
+def format_tally(s: Store) -> DataFrame:
+    """Data items by kind of their canonical type: how many, signed, packed, binary; most frequent first."""
+    part = lambda p: F.get_json_object("canonical_type", f"$.{p}")
+    rows = s["symbols"].where("canonical_type IS NOT NULL").select(part("kind").alias("kind"), *((F.coalesce(part(p), F.lit("false")) == "true").alias(p) for p in ("signed", "packed", "binary")))
+    return tally(rows, "kind", signed=F.col("signed"), packed=F.col("packed"), binary=F.col("binary")).orderBy(F.desc("n"), "kind")
+
+
+def module_tally(s: Store) -> DataFrame:
+    """(module, item, n) of the optional modules: database tables, hierarchical calls by verb, queue calls by operation."""
+    part = lambda t, module, c: s[t].groupBy(F.col(c).alias("item")).agg(F.count("*").alias("n")).select(F.lit(module).alias("module"), "item", "n")
+    return reduce(DataFrame.unionByName, [part("db_io", "db2", "table_name"), part("ims_io", "ims", "operation"), part("mq_io", "mq", "operation")])
+
+
+def category_counts(rows: DataFrame, category: Column | str, **distinct: str) -> DataFrame:
+    """Rows by category and over all (a null category), with the distinct values of further columns."""
+    return rows.rollup(F.col(category).alias("category") if isinstance(category, str) else category.alias("category")).agg(F.count("*").alias("n"), *(F.count_distinct(c).alias(k) for k, c in distinct.items()))
+
+
+def nested_totals(rows: DataFrame, key: str, items: Column, flag) -> DataFrame:
+    """(key, n, flagged): elements of each row's list, and those that have the flag, summed over the rows of a key."""
+    return rows.groupBy(key).agg(F.coalesce(F.sum(F.size(items)), F.lit(0)).alias("n"), F.coalesce(F.sum(F.size(F.filter(items, flag))), F.lit(0)).alias("flagged"))
+
+
+def parse_status(files: DataFrame, paragraphs: DataFrame) -> DataFrame:
+    """(source_file, kind, status, error, paragraphs): a failure is a row, with the reason and no paragraphs.
+
+    `files` is (source_file, kind, text); a program (kind COBOL) needs a procedure division, any other source some text.
+    """
+    n = paragraphs.groupBy("source_file").agg(F.count("*").alias("paragraphs"))
+    empty = F.coalesce(F.trim("text"), F.lit("")) == ""
+    error = F.when(empty, "no text").when((F.col("kind") == "COBOL") & ~F.upper("text").contains("PROCEDURE DIVISION"), "no procedure division")
+    rows = files.join(n, "source_file", "left").withColumn("error", error)
+    return rows.select("source_file", "kind", F.when(F.col("error").isNull(), "success").otherwise("error").alias("status"), "error", F.when(F.col("error").isNull(), F.coalesce("paragraphs", F.lit(0))).otherwise(0).alias("paragraphs"))
+
+
+def verification(s: Store) -> DataFrame:
+    """(check, n): rows of every table, then rows that meet their program: symbols, paragraphs, copybooks."""
+    tops = s["nodes"].select(F.col("uuid").alias("program_uuid"))
+    joins = [s[t].join(tops, "program_uuid").agg(F.count("*").alias("n")).select(F.lit(f"{t} x nodes").alias("table"), "n") for t in ("symbols", "paragraphs", "copybook_use")]
+    return reduce(DataFrame.unionByName, joins, row_counts(s)).withColumnRenamed("table", "check")
+
+
+def samples(s: Store, name: str) -> DataFrame:
+    """(layer, sample) of a program across the layers: its first paragraph, decimal item (else any of level 5), uses, file operations and rule."""
+    own = lambda t: s[t].where(F.upper("source_file") == f"{name}.cbl".upper())
+    take = lambda df, layer, n, order, *cols: df.orderBy(*order).limit(n).select(F.lit(layer).alias("layer"), F.concat_ws("|", *cols).alias("sample"))
+    decimal = (~F.coalesce(F.col("canonical_type").contains("decimal"), F.lit(False))).cast("int")
+    return reduce(DataFrame.unionByName, [
+        take(own("paragraphs"), "L1", 1, ["start_line", "uuid"], "name", "start_line", "end_line"), take(own("symbols").where("level = 5"), "L2", 1, [decimal, "defined_at_line", "uuid"], "name", "pic"),
+        take(own("def_use").where("operation = 'WRITE'"), "L3 writes", 2, ["line_num", "id"], "data_item_uuid", "line_num"), take(own("def_use").where("operation = 'READ'"), "L3 reads", 2, ["line_num", "id"], "data_item_uuid", "line_num"),
+        take(s["file_io"].where(F.upper("program_uuid").like(f"%{name.upper()}%")), "L4", 2, ["line_num", "id"], "file_name", "operation"), take(own("business_rules"), "L5", 1, ["line_num", "uuid"], "kind", "predicate_raw"),
+    ])
 
 
 def row_counts(s: Store) -> DataFrame:

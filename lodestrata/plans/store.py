@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +15,7 @@ from lodestrata.operators import extract as x
 from lodestrata.operators import graph, structure
 from lodestrata.operators.windows import first_wins
 from lodestrata.sources import catalogs
+from lodestrata.sources.lines import prepared
 
 #: Columns of the tables, in order.
 SCHEMAS = {
@@ -37,6 +39,13 @@ SCHEMAS = {
 }
 
 
+#: Columns that look-ups ask for in any case.
+LOOKUPS = (
+    "source_file", "program_uuid", "caller_uuid", "callee_uuid", "call_target", "job_name", "program_name", "copybook_name", "from_program_uuid", "to_program_uuid", "transid", "producer_job", "consumer_job",
+    "segment_name", "queue_name", "table_name", "name",
+)
+
+
 def schema(table: str) -> T.StructType:
     return T.StructType.fromDDL(SCHEMAS[table])
 
@@ -65,11 +74,11 @@ def build(src: Sources, full: DataFrame | None = None) -> dict[str, DataFrame]:
     """All tables; `full` is the expanded programs where the caller has them (persist them: six tables read them). Names stay names where the tables hold names (see the README); ids are hashes of natural keys."""
     spark = src.programs.sparkSession
     full = copy.expand(src.programs, src.copybooks) if full is None else full
-    own = src.programs
+    own = prepared(src.programs)
     ids = structure.programs(full).select("source_file", "program_uuid", "program")
     nodes = structure.ast_nodes(full)
     payload = F.to_json(F.struct(F.when(F.col("kind") == "ProgramNode", F.col("name")).alias("program_name"), F.when(F.col("kind") == "ParagraphNode", F.col("name")).alias("name"), "children_uuids"))
-    out = {"nodes": first_wins(nodes.withColumns({"payload_json": payload, "start_col": F.lit(1), "end_col": F.lit(72)}), ["uuid"], ["source_file", "start_line"])}
+    out = {"nodes": first_wins(nodes.withColumns({"payload_json": payload, "start_col": F.lit(1), "end_col": F.lit(72), "created_at": F.localtimestamp()}), ["uuid"], ["source_file", "start_line"])}
     out["symbols"] = first_wins(structure.symbols(full).withColumn("canonical_type", F.to_json("canonical_type")), ["uuid"], ["source_file", "ordinal"])
     out["paragraphs"] = first_wins(structure.paragraphs(full), ["uuid"], ["source_file", "idx"])
     calls, screens = x.call_graph(own), x.cics(own)
@@ -106,9 +115,36 @@ def build(src: Sources, full: DataFrame | None = None) -> dict[str, DataFrame]:
 def save(tables: dict[str, DataFrame], path: str) -> None:
     """Rebuild the store at `path`, a Parquet folder for each table, with upper-cased look-up columns for pushdown."""
     for name, df in tables.items():
-        keys = [c for c in ("source_file", "program_uuid", "caller_uuid", "callee_uuid", "job_name", "copybook_name", "from_program_uuid", "to_program_uuid") if c in df.columns]
-        df.withColumns({f"{c}_uc": F.upper(c) for c in keys}).write.mode("overwrite").parquet(f"{path}/{name}")
+        rebuild(name, df, path)
+
+
+def rebuild(name: str, df: DataFrame, path: str) -> None:
+    """Replace one table of the store at `path`."""
+    keys = [c for c in LOOKUPS if c in df.columns]
+    df.withColumns({f"{c}_uc": F.upper(c) for c in keys}).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def load(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path}/{name}").select(*schema(name).names) for name in SCHEMAS}
+    """The tables with their look-up columns, which the routes filter by and do not show."""
+    return {name: spark.read.parquet(f"{path}/{name}") for name in SCHEMAS}
+
+
+def save_json(df: DataFrame, path: str) -> None:
+    """An artifact as JSON, a row a line."""
+    df.write.mode("overwrite").json(path)
+
+
+def load_json(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """An artifact's rows, from JSON lines or one document a file; what is missing is empty, what is no JSON is null."""
+    try:
+        return spark.read.schema(ddl).option("multiLine", False).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ddl)
+
+
+def insert_absent(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """`old` and the rows of `new` whose key it lacks, the first of each."""
+    fresh = first_wins(new.join(old.select(key), key, "left_anti"), [key], [F.xxhash64(*new.columns)])
+    return old.unionByName(fresh)

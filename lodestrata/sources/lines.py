@@ -23,10 +23,10 @@ def line_table(files: DataFrame, text: str = "text", key: str = "source_file") -
 
 def read_texts(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
     """(source_file, path, text) of every file: one row a file, bad bytes replaced."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive)
+    reader = spark.read.option("recursiveFileLookup", recursive)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.text(path).select(F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return reader.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -62,7 +62,12 @@ def paragraph_name(line: Column | str) -> Column:
 
 
 def prepared(lines: DataFrame) -> DataFrame:
-    """Lines with program, comment, header (of lines that are no comments), division and procedure (after the division's line)."""
+    """Lines with program, comment, header (of lines that are no comments), division and procedure (after the division's line).
+
+    Lines that are prepared already stay as they are, so that one preparation (and its shuffle by file) serves all extractors.
+    """
+    if {"procedure", "any_header", "stripped"} <= set(lines.columns):
+        return lines
     w = by("source_file", "line_num")
     division = ~is_comment("line") & F.upper("line").contains("PROCEDURE DIVISION")
     out = lines.withColumns({"program": F.upper(stem("source_file")), "comment": is_comment("line"), "division": division, "any_header": paragraph_name("line")})

@@ -103,3 +103,62 @@ def test_fixture_rows(spark, name):
     want = duckdb.connect().execute(bindings.ORACLE[name])
     names = [d[0] for d in want.description]
     assert sorted(map(str, df.select(*names).collect())) and sorted(repr(tuple(r)) for r in df.select(*names).collect()) == sorted(map(repr, want.fetchall()))
+
+
+def test_look_ups_reach_the_reader(spark, tmp_path):
+    from lodestrata.plans import api, store
+
+    rows = spark.createDataFrame([("1", "A01", "B02"), ("2", "B02", "c03")], "id string, caller_uuid string, callee_uuid string")
+    tables = {t: store.conform(rows if t == "call_graph" else rows.where("false").select("id"), t) for t in store.SCHEMAS}
+    store.save(tables, str(tmp_path / "s"))
+    facts = store.load(spark, str(tmp_path / "s"))
+    found = api.callees(facts, "b02")
+    assert [r.callee_uuid for r in found.collect()] == ["c03"] and found.columns == store.schema("call_graph").names
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(caller_uuid_uc,B02)" in plan.split("PushedFilters")[1]
+    store.rebuild("call_graph", tables["call_graph"].where("id = '1'"), str(tmp_path / "s"))
+    assert store.load(spark, str(tmp_path / "s"))["call_graph"].count() == 1
+    both = store.insert_absent(tables["call_graph"].where("id = '1'"), tables["call_graph"], "id")
+    assert sorted(r.id for r in both.collect()) == ["1", "2"]
+
+
+def test_artifacts_as_json(spark, tmp_path):
+    from lodestrata.plans import store
+
+    rows = spark.createDataFrame([("A", 1), ("B", None)], "name string, n int")
+    store.save_json(rows, str(tmp_path / "j"))
+    assert sorted(map(tuple, store.load_json(spark, str(tmp_path / "j"), "name string, n int").collect())) == [("A", 1), ("B", None)]
+    assert store.load_json(spark, str(tmp_path / "none"), "name string, n int").isEmpty()
+
+
+def test_files_are_read_as_lines(spark, tmp_path):
+    from lodestrata.sources.lines import inventory, line_table, read_texts
+
+    (tmp_path / "deep").mkdir()
+    for name, text in (("A.cbl", b"one\r\ntwo\n"), ("b.CBL", b"caf\xff"), ("c.txt", b"no"), ("deep/D.cbl", b"deep")):
+        (tmp_path / name).write_bytes(text)
+    rows = line_table(read_texts(spark, str(tmp_path), "*.{cbl,CBL}")).select("source_file", "line_num", "line")
+    assert sorted(map(tuple, rows.collect())) == [("A.cbl", 1, "one"), ("A.cbl", 2, "two"), ("b.CBL", 1, "caf\ufffd")]
+    assert sorted((r.source_file, r.length) for r in inventory(spark, str(tmp_path), "*.cbl").collect()) == [("A.cbl", 9), ("D.cbl", 4)]
+
+
+def test_blocks_by_parity_equal_a_loop(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from lodestrata.operators.windows import block_numbers, by
+
+    rnd = random.Random(4)
+    rows = [(g, k, rnd.random() < 0.3, rnd.random() < 0.3) for g in range(40) for k in range(25)]
+    want, state = {}, {}
+    for g, k, s, e in rows:
+        n, is_open = state.get(g, (0, False))
+        began = s and not is_open
+        n += began
+        if is_open or began:
+            want[g, k] = n
+        state[g] = (n, (is_open or began) and not (e and not began))
+    df = spark.createDataFrame(rows, "g int, k int, s boolean, e boolean")
+    got = block_numbers(df, F.col("s"), F.col("e"), by("g", "k"), "n").where("n IS NOT NULL").collect()
+    assert {(r.g, r.k): r.n for r in got} == want
