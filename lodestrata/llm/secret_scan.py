@@ -1,18 +1,21 @@
-"""Secret scans by a trigram index.
-
-From every rule's regex a Boolean query over trigrams is derived: the trigrams that any
-match must hold, an AND within a literal, an OR over alternatives. The index is inverted
-and partitioned by document: for each trigram that some query names, a row holds its own
-slice of the posting list as one bit of `trigrams`, so intersecting postings is a bitwise
-AND in the row and no text is shuffled to meet its postings. Only rows whose bits satisfy a
-rule's query are verified with its regex; rules without a mandatory trigram scan every row.
-
-All of it is DataFrame expressions: a narrow plan without shuffle, whatever the size.
-
-Defined results: a null text is scanned as empty and has no spans; matches are leftmost and
-do not overlap within a kind; spans of different kinds may overlap; repeated rows are
-scanned as rows of their own; an empty table gives an empty result. Columns beside the text
-are carried along; a working column is named with a leading `_ss_`.
+"""Secret scans by a trigram inverted index.
+
+From every rule's regex a Boolean query over trigrams is derived: the trigrams that any match must
+hold, an AND within a literal, an OR over alternatives. `index` inverts the texts: for each trigram
+that some query names, the posting list of the texts that hold it (by a 64-bit key of the text, so
+copies are one posting), cut into blocks of about BLOCK texts by key, so no list is unbounded.
+`candidates` intersects and unites posting lists block by block as the queries say, and only
+candidates are verified with a rule's regex; rules without a mandatory trigram scan every text. Texts
+whose keys collide are candidates of either's rules, which verification sets right.
+
+All of it is DataFrame expressions. Texts do not move while the candidates are few enough to be
+broadcast (`dealt`); beyond, texts and candidates are dealt by key.
+
+Defined results: a null text is scanned as empty and has no spans; matches are leftmost and do not
+overlap within a kind; spans of different kinds may overlap; repeated rows are scanned as rows of
+their own; an empty table gives an empty result. A text is scanned whole, however long; its spans are
+put together in time that grows with their number. Columns beside the text are carried along, but for
+one named as the column of spans, which `scan` replaces; working columns begin with _ss_.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import text_or_empty
+from lodestrata.llm.common import Scratch, dealt, text_or_empty
 
 
 class Rule(NamedTuple):
@@ -60,6 +63,8 @@ RULES = BASE + ADDED
 PLACEHOLDER = "[secret]"
 #: Alternatives that one literal may branch into before the query is cut there.
 BRANCHES = 48
+#: Texts in a block of the posting lists; matches whose spans are put together at a time.
+BLOCK, CHUNK = 4096, 256
 
 Query = tuple  # ("and", queries...), ("or", queries...) or a trigram; ("and",) is always true
 
@@ -146,44 +151,45 @@ def vocabulary(rules: tuple[Rule, ...] = RULES) -> list[str]:
     return sorted(set().union(*(trigrams_of(trigram_query(r.regex)) for r in rules)))
 
 
-def index(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
-    """`docs` with _ss_text and _ss_trigrams, each row's slice of the posting lists: bit k % 63 of word k // 63 says
-    whether trigram k of the vocabulary stands in the lower-cased text."""
+def _key(text_col: str) -> Column:
+    return F.xxhash64(text_or_empty(text_col))
+
+
+def index(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", block: int = BLOCK) -> DataFrame:
+    """The inverted index (block, trigram, keys): in each block of texts, those that hold a trigram, sorted."""
     words = vocabulary(rules)
-    lowered = docs.withColumn("_ss_text", text_or_empty(text_col)).withColumn("_ss_lower", F.lower("_ss_text"))
-    longs = []
-    for at in range(0, len(words), 63):
-        bits = [F.when(F.contains("_ss_lower", F.lit(w)), F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, w in enumerate(words[at : at + 63])]
-        total = bits[0]
-        for x in bits[1:]:
-            total = total.bitwiseOR(x)
-        longs.append(total)
-    return lowered.withColumn("_ss_trigrams", F.array(*longs)).drop("_ss_lower")
+    blocks = max(1, -(-docs.count() // block))
+    lowered = docs.select(_key(text_col).alias("key"), F.lower(text_or_empty(text_col)).alias("lower"))
+    held = F.array_compact(F.array(*(F.when(F.contains("lower", F.lit(w)), F.lit(w)) for w in words))) if words else F.array().cast("array<string>")
+    postings = lowered.select("key", F.explode(held).alias("trigram"))
+    return postings.groupBy(F.pmod("key", F.lit(blocks)).alias("block"), "trigram").agg(F.array_sort(F.collect_set("key")).alias("keys"))
 
 
-def candidate(rule: Rule, words: list[str]) -> Column:
-    """Whether a row's postings satisfy the rule's query."""
+def candidates(postings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(key, rules): for each text that satisfies some rule's query, those rules as bits. Rules without a query are left out:
+    every text is their candidate."""
+    lists = postings.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("trigram", "keys"))).alias("of"))
+    none = F.array().cast("array<bigint>")
 
     def hold(q: Query | str) -> Column:
-        if isinstance(q, str) or all(isinstance(x, str) for x in q[1:]):
-            ks = [words.index(x) for x in ([q] if isinstance(q, str) else q[1:])]
-            out = F.lit(True)
-            if not isinstance(q, str) and q[0] == "or" and ks:
-                out = F.lit(False)
-                for k in ks:
-                    out = out | hold(words[k])
-                return out
-            for at in sorted({k // 63 for k in ks}):
-                mask = sum(1 << k % 63 for k in ks if k // 63 == at)
-                out = out & (F.col("_ss_trigrams")[at].bitwiseAND(F.lit(mask).cast("long")) == F.lit(mask).cast("long"))
-            return out
+        if isinstance(q, str):
+            return F.coalesce(F.try_element_at("of", F.lit(q)), none)
         parts = [hold(x) for x in q[1:]]
         out = parts[0]
         for x in parts[1:]:
-            out = (out & x) if q[0] == "and" else (out | x)
+            out = F.array_intersect(out, x) if q[0] == "and" else F.array_union(out, x)
         return out
 
-    return hold(trigram_query(rule.regex))
+    asked = [(1 << k, q) for k, q in enumerate(trigram_query(r.regex) for r in rules) if q != ("and",)]
+
+    def marked(keys: Column, bit: int) -> Column:
+        return F.transform(keys, lambda key: F.struct(key.alias("key"), F.lit(bit).cast("long").alias("bit")))
+
+    each = [marked(hold(q), bit) for bit, q in asked]
+    if not each:
+        return lists.select(F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("rules")).where("false")
+    found = lists.select(F.explode(F.concat(*each)).alias("c")).select("c.*")
+    return found.groupBy("key").agg(F.bit_or("bit").alias("rules"))
 
 
 _SPANS = "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
@@ -195,7 +201,7 @@ def _verified(rule: Rule, rank: int) -> Column:
     found = F.regexp_extract_all("_ss_text", F.lit(pattern), F.lit(0))
     inner = F.regexp_extract_all("_ss_text", F.lit(pattern), F.lit(rule.group)) if rule.group else found
     parts = F.arrays_zip(F.split("_ss_text", pattern, -1).alias("gap"), found.alias("match"), inner.alias("inner"))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPANS).alias("spans"))
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPANS).alias("spans"))
 
     def step(state: Column, x: Column) -> Column:
         begin = state["at"] + F.char_length(x["gap"])
@@ -204,16 +210,31 @@ def _verified(rule: Rule, rank: int) -> Column:
         keep = x["match"].isNotNull() & (F.char_length(x["inner"]) >= rule.least)
         return F.struct(end.cast("long").alias("at"), F.when(keep, F.concat(state["spans"], F.array(one).cast(_SPANS))).otherwise(state["spans"]).alias("spans"))
 
-    return F.aggregate(parts, start, step)["spans"]
+    # an array that grows by one is copied each time: chunks of matches, each from 0, are moved to their places after
+    def chunked(parts: Column) -> Column:
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / CHUNK).cast("int")), lambda c: F.aggregate(F.slice(parts, c * CHUNK + 1, F.lit(CHUNK)), zero, step))
+        return F.transform(F.array(chunks), moved)[0]
+
+    def moved(chunks: Column) -> Column:
+        first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts"))
+        starts = F.aggregate(chunks, first, lambda s, c: F.struct((s["at"] + c["at"]).alias("at"), F.concat(s["starts"], F.array(s["at"])).alias("starts")))["starts"]
+        shift = lambda x, by: F.struct((x["start"] + by).alias("start"), x["rank"].alias("rank"), (x["end"] + by).alias("end"), x["kind"].alias("kind"))
+        return F.flatten(F.zip_with(chunks, starts, lambda c, by: F.transform(c["spans"], lambda x: shift(x, by)))).cast(_SPANS)
+
+    return F.transform(F.array(parts), chunked)[0]
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
-    """`docs` with secret_spans, an array of (start, rank, end, kind) sorted by start, then the rules' order: code points, end exclusive."""
-    words, none = vocabulary(rules), F.array().cast(_SPANS)
-    indexed = index(docs, rules, text_col)
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", spans_col: str = "secret_spans") -> DataFrame:
+    """`docs` with `spans_col`, an array of (start, rank, end, kind) sorted by start, then the rules' order: code points, end exclusive."""
+    none, scratch = F.array().cast(_SPANS), Scratch(docs.sparkSession)
+    docs = docs.drop(spans_col)
+    found = scratch.table(candidates(index(docs, rules, text_col), rules).withColumnRenamed("key", "_ss_key").withColumnRenamed("rules", "_ss_rules"), "candidates")
+    met = dealt(docs.withColumns({"_ss_key": _key(text_col), "_ss_text": text_or_empty(text_col)}), found, "_ss_key", "left")
+    whole = sum(1 << k for k, r in enumerate(rules) if trigram_query(r.regex) == ("and",))
+    mine = F.coalesce("_ss_rules", F.lit(0).cast("long")).bitwiseOR(F.lit(whole).cast("long"))
     pattern = lambda r: ("(?i)" if r.any_case else "") + r.regex
-    each = [F.when(candidate(r, words) & F.col("_ss_text").rlike(pattern(r)), _verified(r, k)).otherwise(none) for k, r in enumerate(rules)]
-    return indexed.withColumn("secret_spans", F.array_sort(F.concat(*each))).drop("_ss_trigrams", "_ss_text")
+    each = [F.when((mine.bitwiseAND(F.lit(1 << k).cast("long")) != 0) & F.col("_ss_text").rlike(pattern(r)), _verified(r, k)).otherwise(none) for k, r in enumerate(rules)]
+    return met.withColumn(spans_col, F.array_sort(F.concat(*each))).select(*docs.columns, spans_col)
 
 
 def spans_text(spans: Column) -> Column:
@@ -223,14 +244,14 @@ def spans_text(spans: Column) -> Column:
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """`docs` with every span of a secret replaced by the placeholder; overlapping spans become one. A null text stays null."""
-    scanned = scan(docs, rules, text_col)
+    scanned = scan(docs, rules, text_col, "_ss_spans")
     text = text_or_empty(text_col)
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(state: Column, x: Column) -> Column:
         gap = F.substring(text, (state["at"] + 1).cast("int"), F.greatest(x["start"] - state["at"], F.lit(0)).cast("int"))
         fresh = x["start"] >= state["at"]
-        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.when(fresh, F.concat(state["out"], gap, F.lit(PLACEHOLDER))).otherwise(state["out"]).alias("out"))
+        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.when(fresh, F.concat(state["out"], F.array(gap))).otherwise(state["out"]).alias("out"))
 
-    done = F.aggregate("secret_spans", start, step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.char_length(text))))
-    return scanned.withColumn(text_col, F.when(F.size("secret_spans") > 0, done).otherwise(F.col(text_col))).drop("secret_spans")
+    done = F.aggregate("_ss_spans", start, step, lambda s: F.array_join(F.concat(s["out"], F.array(F.substring(text, (s["at"] + 1).cast("int"), F.char_length(text)))), PLACEHOLDER))
+    return scanned.withColumn(text_col, F.when(F.size("_ss_spans") > 0, done).otherwise(F.col(text_col))).select(*docs.columns)

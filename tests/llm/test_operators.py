@@ -231,6 +231,28 @@ def test_secret_scan_equals_regexes(spark, docs, texts, none):
     assert any(got[len(texts) + k] for k in range(len(SECRETS))) and secret_scan.scan(none).isEmpty()
 
 
+def test_postings_are_the_trigrams_of_each_text(spark):
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate([*SECRETS, *SECRETS, None, "", "nothing here"])], "doc_id long, text string")
+    keyed = rows.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key")).distinct().collect()
+    for block in (2, 4096):
+        got = {(r.trigram, k) for r in secret_scan.index(rows, block=block).collect() for k in r["keys"]}
+        assert got == {(w, r.key) for r in keyed for w in secret_scan.vocabulary() if w in (r.text or "").lower()}
+    holds = lambda q, x: q in x if isinstance(q, str) else (all if q[0] == "and" else any)(holds(p, x) for p in q[1:])
+    found = {r.key: r.rules for r in secret_scan.candidates(secret_scan.index(rows, block=2)).collect()}
+    asked = [(1 << k, q) for k, q in enumerate(secret_scan.trigram_query(r.regex) for r in secret_scan.RULES) if q != ("and",)]
+    assert found == {r.key: m for r in keyed if (m := sum(bit for bit, q in asked if holds(q, (r.text or "").lower())))}
+
+
+def test_many_secrets_in_one_text_and_columns_that_clash(spark):
+    text = " ".join(f"token=abcdef{k} é" for k in range(1500))
+    docs = spark.createDataFrame([(1, text, "own", 7)], "doc_id long, text string, secret_spans string, _key int")
+    want = [(m.start(), m.end()) for m in re.finditer(r"token=[a-z0-9]+", text)]
+    row = secret_scan.scan(docs).first()
+    assert [(s.start, s.end) for s in row.secret_spans if s.kind == "assign"] == want and row._key == 7
+    out = secret_scan.redact(docs).first()
+    assert (out.text, out.secret_spans, out._key) == (re.sub(r"token=[a-z0-9]+", "[secret]", text), "own", 7)
+
+
 def test_redaction_leaves_the_rest(spark):
     rows = spark.createDataFrame([(1, "a password=abcdef1 b"), (2, None), (3, "clean"), (4, "token=" + "0a" * 20)], "doc_id long, text string")
     assert {r.doc_id: r.text for r in secret_scan.redact(rows).collect()} == {1: "a [secret] b", 2: None, 3: "clean", 4: "[secret]"}
