@@ -10,19 +10,21 @@ k bins for each query and block. The last pass sends what lies above the k-th sc
 scores equal to it, the smallest ids that are still needed; a window over at most k rows for each
 query and block ranks them.
 
-The query side is broadcast only while its measured size is under `BROADCAST_BYTES`; beyond, the
-blocks meet in a shuffle join on the query block's number.
+The query side is broadcast in parts of at most about `BROADCAST_BYTES`, measured, so candidates
+stay where they are at any size.
 
 Defined results: vectors that are null or hold a null, NaN or infinite component take no part;
-vectors of different lengths never meet; a query with fewer than k candidates gets them all; ids
-are never matched with themselves (nor with rows of the same id), and a query row that repeats is
-answered each time; scores are exact while
-they fit 63 bits; null ids take no part; an empty table gives an empty result.
+vectors of different lengths never meet; a query with fewer than k candidates gets them all; a query
+row never meets itself but meets other rows that repeat its id, and a query row that repeats is
+answered each time; scores are exact up to 55 bits and stay at that bound beyond (floor(scale * x)
+itself stays within 64 bits); null ids take no part; an empty table gives an empty result. All vectors
+of a block are held at once; a vector of any length is held whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,64 +33,69 @@ from pyspark.sql import functions as F
 
 from lodestrata.llm.common import bound_batches, table
 
-#: Vectors in a block of candidates and of queries; bins of one pass; the query side's bytes up to which it is broadcast.
+#: Vectors in a block of candidates and of queries; bins of one pass; bytes of the query side that are broadcast at once.
 BLOCK, QUERY_BLOCK, BINS, BROADCAST_BYTES = 2048, 1024, 256, 16 << 20
-#: Lower than any score.
-ALL = -(2**61)
+#: Lower than any score; the largest score that is told apart.
+ALL, MOST = -(2**61), 2**55 - 1
 
 
 def quantize(vectors: DataFrame, scale: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(vec_id, q): floor(scale * x) of each component as a double; only vectors whose components are all finite."""
+    """(vec_id, q, row): floor(scale * x) of each component as a double, and a number for each row; only vectors whose components
+    are all finite. Written, so that the numbers stay."""
     x = F.col(vector_col)
     fit = F.col(id_col).isNotNull() & x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    return vectors.where(F.coalesce(fit, F.lit(False))).select(
-        F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(F.lit(float(scale)) * v.cast("double"))).alias("q")
+    whole = vectors.where(F.coalesce(fit, F.lit(False))).select(
+        F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(F.lit(float(scale)) * v.cast("double"))).alias("q"), F.monotonically_increasing_id().alias("row")
     )
+    return table(whole, "vectors")
 
 
 def _blocks(vectors: DataFrame, size: int) -> DataFrame:
-    """Blocks (dim, ids, data, reach) of up to `size` vectors of one length, as they lie in a partition; reach: the largest sum of absolute values and component."""
+    """Blocks (dim, ids, data, l1, top) of up to `size` vectors of one length, as they lie in a partition; ids and row numbers
+    in turn; l1, top: the largest sum of absolute values and component."""
     schema = pa.schema([("dim", pa.int32()), ("ids", pa.binary()), ("data", pa.binary()), ("l1", pa.float64()), ("top", pa.float64())])
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
 
         def block(dim: int, rows: list) -> pa.RecordBatch:
-            ids = np.array([r[0] for r in rows], np.int64)
-            data = np.array([r[1] for r in rows], np.int64).reshape(len(rows), dim)
+            ids = np.array([r[:2] for r in rows], np.int64)
+            data = np.array([r[2] for r in rows], np.int64).reshape(len(rows), dim)
             size = np.abs(data.astype(np.float64))
             row = {"dim": dim, "ids": ids.tobytes(), "data": data.tobytes(), "l1": float(size.sum(1).max(initial=0)), "top": float(size.max(initial=0))}
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for batch in batches:
-            for key, q in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, row, q in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 rows = held.setdefault(len(q), [])
-                rows.append((key, q))
+                rows.append((key, row, q))
                 if len(rows) == size:
                     yield block(len(q), held.pop(len(q)))
         for dim, rows in held.items():
             yield block(dim, rows)
 
-    return vectors.select("vec_id", "q").mapInArrow(build, "dim int, ids binary, data binary, l1 double, top double")
+    return vectors.select("vec_id", "row", "q").mapInArrow(build, "dim int, ids binary, data binary, l1 double, top double")
 
 
 def _scores(cand: np.ndarray, query: np.ndarray, bound: float) -> np.ndarray:
-    """Exact integer products, queries by candidates; by floating point where no partial sum can round."""
+    """Exact integer products, queries by candidates; by floating point where no partial sum can round, by Python's integers
+    where 63 bits may not do. What lies beyond MOST stays there."""
     if bound < 2.0**52:
         return (query.astype(np.float64) @ cand.astype(np.float64).T).astype(np.int64)
-    return query @ cand.T
+    if bound < 2.0**62:
+        return np.clip(query @ cand.T, -MOST, MOST)
+    return np.clip(query.astype(object) @ cand.astype(object).T, -MOST, MOST).astype(np.int64).reshape(len(query), len(cand))
 
 
-def _meet(candidates: DataFrame, queries: DataFrame, broadcast: bool) -> DataFrame:
-    """Every candidate block beside every query block of its length."""
-    numbers = queries.groupBy("dim").agg(F.collect_list("qb").alias("qbs"))  # a number for each block of queries
-    spread = candidates.join(F.broadcast(numbers), "dim").select("dim", "ids", "data", "l1", "top", F.explode("qbs").alias("qb"))
-    side = queries.select("qb", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.col("l1").alias("q_l1"), "lo", "width", "need")
-    return spread.join(F.broadcast(side) if broadcast else side, "qb")
+def _meet(candidates: DataFrame, queries: DataFrame, parts: int) -> DataFrame:
+    """Every candidate block beside every query block of its length, the queries broadcast in so many parts."""
+    side = queries.select("dim", "qb", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.col("l1").alias("q_l1"), "lo", "width", "need")
+    own = [side if parts == 1 else side.where(F.pmod(F.xxhash64("qb"), F.lit(parts)) == k) for k in range(parts)]
+    return reduce(DataFrame.unionByName, (candidates.join(F.broadcast(x), "dim") for x in own))
 
 
 def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    ids, q_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["q_ids"], np.int64)
+    ids, q_ids = np.frombuffer(row["ids"], np.int64).reshape(-1, 2), np.frombuffer(row["q_ids"], np.int64).reshape(-1, 2)
     shape = lambda x, n: np.frombuffer(x, np.int64).reshape(n, row["dim"])
     scores = _scores(shape(row["data"], len(ids)), shape(row["q_data"], len(q_ids)), row["q_l1"] * row["top"])
     return ids, q_ids, scores, *(np.frombuffer(row[k], np.int64) for k in ("lo", "width", "need"))
@@ -104,7 +111,7 @@ def _histogram(rows: DataFrame, k: int) -> DataFrame:
                 ids, q_ids, scores, lo, width, need = _unpack(row)
                 out: list[list] = [[], [], []]
                 for j, q in enumerate(q_ids):
-                    own = scores[j][ids != q]
+                    own = scores[j][ids[:, 1] != q[1]]
                     own = own[(own >= lo[j]) & (own - lo[j] < width[j] * BINS)]
                     if len(own) > k:  # below a block's own k-th no bin can hold the k-th of all
                         own = own[own >= np.partition(own, len(own) - k)[len(own) - k]]
@@ -128,13 +135,13 @@ def _select(rows: DataFrame) -> DataFrame:
                 ids, q_ids, scores, lo, _, need = _unpack(row)
                 out: list[list] = [[], [], [], []]
                 for j, q in enumerate(q_ids):
-                    other = ids != q
+                    other = ids[:, 1] != q[1]
                     above = np.flatnonzero(other & (scores[j] > lo[j]))
                     ties = np.flatnonzero(other & (scores[j] == lo[j]))
                     if len(ties) > need[j]:
-                        ties = ties[np.argsort(ids[ties], kind="stable")[: need[j]]]
+                        ties = ties[np.argsort(ids[ties, 0], kind="stable")[: need[j]]]
                     at = np.concatenate([above, ties])
-                    for column, x in zip(out, ([j] * len(at), [q] * len(at), ids[at], scores[j][at]), strict=True):
+                    for column, x in zip(out, ([j] * len(at), [q[0]] * len(at), ids[at, 0], scores[j][at]), strict=True):
                         column.extend(x)
                 if out[0]:
                     cols = [np.full(len(out[0]), row["qb"]), *out]
@@ -153,7 +160,7 @@ def _narrowed(queries: DataFrame, histogram: DataFrame) -> DataFrame:
     def move(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], np.int64)
+                ids = np.frombuffer(row["ids"], np.int64).reshape(-1, 2)
                 lo, width, need = (np.frombuffer(row[k], np.int64).copy() for k in ("lo", "width", "need"))
                 f = [np.frombuffer(row[k] or b"", np.int64) for k in ("f_places", "f_bins", "f_ns")]
                 places = np.arange(len(ids))
@@ -180,11 +187,12 @@ def _per_block(t: pa.Table) -> pa.Table:
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k highest inner products with the vectors of other ids, ties to the smaller id."""
+    """(query_id, rank, vec_id, score): each query's k highest inner products with the other rows of `vectors`, ties to the
+    smaller id. Both are (vec_id, q, row); a query is a row of `vectors` and meets all but the row of its number."""
     bound_batches(vectors.sparkSession)
     candidates = table(_blocks(vectors, BLOCK), "blocks")
     packed = table(_blocks(queries, QUERY_BLOCK), "queries").withColumn("qb", F.monotonically_increasing_id())
-    facts = packed.agg(F.sum(F.length("data") + 4 * F.length("ids")).alias("bytes"), F.max("l1").alias("l1")).first()
+    facts = packed.agg(F.sum(F.length("data") + 2 * F.length("ids")).alias("bytes"), F.max("l1").alias("l1")).first()
     top = candidates.agg(F.max("top")).first()[0]
     reach = int((facts["l1"] or 0) * (top or 0))
     width = 1
@@ -197,18 +205,18 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     def begin(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                n = len(row["ids"]) // 8
+                n = len(row["ids"]) // 16
                 state = {"lo": -reach, "width": width, "need": k}
                 yield pa.RecordBatch.from_pylist([row | {c: np.full(n, x, np.int64).tobytes() for c, x in state.items()}], schema=schema)
 
     state = packed.select("qb", "dim", "ids", "data", "l1", "top").mapInArrow(begin, "qb long, dim int, ids binary, data binary, l1 double, top double, lo binary, width binary, need binary")
-    small = (facts["bytes"] or 0) <= BROADCAST_BYTES
+    parts = max(1, -(-(facts["bytes"] or 0) // BROADCAST_BYTES))
     state = table(state, "queries")
     while True:
-        state = table(_narrowed(state, _histogram(_meet(candidates, state, small), k)), "queries")
+        state = table(_narrowed(state, _histogram(_meet(candidates, state, parts), k)), "queries")
         if width == 1:
             break
         width //= BINS
-    found = _select(_meet(candidates, state, small))
+    found = _select(_meet(candidates, state, parts))
     order = Window.partitionBy("qb", "place").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
