@@ -1,12 +1,15 @@
 """License scans by ordered signature rules.
 
 A text becomes its words (A-Z lower-cased, all other ASCII but a-z and 0-9 parts words),
-joined by single spaces. Rules are regexes over that form, in order of priority; a rule runs
-only on texts that hold its keyword. Of detections that overlap, one whose interval lies
+joined by single spaces. Rules are regexes over that form, in order of priority: hand-written
+signatures (passages of licence texts, headers and identifiers, names, notices) and, between names
+and notices, the plain forms in which the licences of a table are named. A rule runs only on texts
+that hold its keyword. Of detections that overlap, one whose interval lies
 within that of a detection with higher priority (or the same priority and more words, or
 the earlier rule) is suppressed. Base phrases are detected apart and never suppressed.
 
-The scan is a map over rows: no shuffle, one text in memory at a time beside its batch.
+The scan is a map over rows: no shuffle, one text in memory at a time beside its batch; a very long
+text is scanned whole, its words held at once.
 
 Defined results: a null text is scanned as empty: no words, no labels, null positions,
 score 0. Repeated rows are scanned as rows of their own; an empty table gives an empty
@@ -26,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.common import bound_batches, text_or_empty
+from lodestrata.llm.license_signatures import HEADERS, NAMES, NOTICES, TEXTS
 
 #: The phrases that are always reported, and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -93,21 +97,6 @@ FAMILIES = (
     Family("sspl", r"server side public licen[cs]e", "sspl", ("1 0", "1", "")),
     Family("busl", r"business source licen[cs]e", "busl", ("1 1", "")),
 )
-#: Notices that name no licence: label, regex, keyword, confidence.
-NOTICES = (
-    ("public-domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain", "public domain", 0.8),
-    ("public-domain", r"public domain", "public domain", 0.4),
-    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy", "permission is hereby granted", 0.9),
-    ("bsd", r"redistribution and use in source and binary forms with or without modification", "redistribution and use", 0.9),
-    ("isc", r"permission to use copy modify and or distribute this software", "permission to use copy", 0.9),
-    ("zlib", r"this software is provided as is without any express or implied warranty", "express or implied warranty", 0.7),
-    ("proprietary", r"(?:proprietary and confidential|confidential and proprietary)", "proprietary", 0.7),
-    ("proprietary", r"may not be (?:reproduced|copied|distributed) without (?:the )?(?:prior )?(?:written )?permission", "may not be", 0.6),
-    ("noncommercial", r"(?:for )?non ?commercial (?:use|purposes) only", "commercial", 0.5),
-    ("copyright", r"copyright (?:c )?(?:19|20)[0-9][0-9]", "copyright", 0.3),
-    ("copyright", r"(?:19|20)[0-9][0-9] copyright", "copyright", 0.2),
-    ("licensed", r"licen[cs]ed under (?:the )?(?:terms of )?(?:the )?[^ ]+", "licen", 0.2),
-)
 #: How a licence is named, most certain first: what stands before, whether the long name may stand there, confidence.
 FORMS = (
     ("spdx licen[cs]e identifier ", False, 0.99),
@@ -128,9 +117,18 @@ class Rule(NamedTuple):
 
 @lru_cache(maxsize=1)
 def rules() -> tuple[Rule, ...]:
-    """The ordered signature rules: every family in every form and version, then the notices."""
-    out = []
-    for level, (before, long, confidence) in enumerate(FORMS):
+    """The ordered signature rules: texts, headers, names, then every family in every form and version, then the notices."""
+    out: list[Rule] = []
+
+    def signatures(level: int, confidence: float, rows: tuple[tuple[str, str, str], ...]) -> None:
+        for label, keyword, regex in rows:
+            # a keyword that names a licence (with c or s) gates by the part before it
+            gate = re.split("licen[cs]", keyword)[0].strip() if "license" in keyword else keyword
+            out.append(Rule(label, level, confidence, (gate if len(gate) > 3 else "licen").encode(), re.compile(f" {regex}(?= )".encode())))
+
+    for level, (confidence, rows) in enumerate(((0.97, TEXTS), (0.95, HEADERS), (0.8, NAMES))):
+        signatures(level, confidence, rows)
+    for level, (before, long, confidence) in enumerate(FORMS, 3):
         for f in FAMILIES:
             for version in f.versions:
                 for name in dict.fromkeys([f.name, f.short] if long else [f.short]):
@@ -142,8 +140,7 @@ def rules() -> tuple[Rule, ...]:
                     keyword = max(re.split(r"licen\[cs\]e|\(\?:[^)]*\)\??|\[[^\]]*\]\+?| \?", name), key=len)
                     keyword = f" {name} " if name == f.short else keyword.strip()
                     out.append(Rule(label, level, confidence, keyword.encode(), re.compile(f" {before}{name}{v}(?= )".encode())))
-    for label, regex, keyword, confidence in NOTICES:
-        out.append(Rule(label, len(FORMS), confidence, keyword.encode(), re.compile(f" {regex}(?= )".encode())))
+    signatures(3 + len(FORMS), 0.4, NOTICES)
     return tuple(out)
 
 
@@ -177,9 +174,12 @@ def detect(spaced: bytes) -> list[Detection]:
     for _, _, _, a, b, r in sorted(found, key=lambda x: x[:4]):
         if not _within(kept, reach, a, b):
             _insert(kept, reach, a, b)
-            at = spaced.count(b" ", 0, a)
-            out.append(Detection(at, at + spaced.count(b" ", a, b), r.label, r.confidence))
-    return sorted(out)
+            out.append((a, b, r))
+    done, n, last = [], 0, 0
+    for a, b, r in sorted(out, key=lambda x: (x[0], x[1], x[2].label)):  # words are counted once, from start to start
+        n, last = n + spaced.count(b" ", last, a), a
+        done.append(Detection(n, n + spaced.count(b" ", a, b), r.label, r.confidence))
+    return done
 
 
 def _within(kept: list[tuple[int, int]], reach: list[int], a: int, b: int) -> bool:

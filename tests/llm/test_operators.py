@@ -195,6 +195,45 @@ def test_an_interval_within_a_stronger_one_is_suppressed():
     assert [d.label for d in found] == ["gpl-3"]
 
 
+LICENSES = [
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation", "mit"),
+    ("SPDX-License-Identifier: GPL-2.0-or-later\nint main", "gpl-2.0-or-later"), ("under GPLv2, see there", "gpl-2.0"), ("the LGPLv2.1 applies", "lgpl-2.1"), ("(AGPLv3)", "agpl-3.0"),
+    ("see https://creativecommons.org/licenses/by-sa/4.0/ for it", "cc-by-sa-4.0"), ("Licensed under the Apache License, Version 2.0 (the", "apache-2.0"), ("Copyright (c) 2019 Someone", "copyright"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"), ("no part of this book may be reproduced in any form", "proprietary"),
+]
+
+
+def test_license_labels_suppression_and_score(spark):
+    """Against a loop over all rules without gates, and over all pairs of detections."""
+    rnd = random.Random(16)
+    texts_ = [x for x, _ in LICENSES] + [" ".join(rnd.choice([x for x, _ in LICENSES] + [prose(rnd, 5)]) for _ in range(6)) for _ in range(40)] + ["", "plain words only"]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")).collect()}
+    for k, x in enumerate(texts_):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", x.lower())
+        spaced = (" " + " ".join(words) + " ").encode()
+        found = sorted(((r.priority, m.start() - m.end(), n, m.start(), m.end(), r) for n, r in enumerate(license_scan.rules()) for m in r.regex.finditer(spaced)), key=lambda f: f[:4])
+        kept: list = []
+        for f in found:
+            if not any(g[3] <= f[3] and f[4] <= g[4] for g in kept):
+                kept.append(f)
+        base = {label for phrase, label in license_scan.BASE.items() if f" {phrase} ".encode() in spaced}
+        miss = float(np.prod([1 - f[5].confidence for f in kept]))
+        assert got[k].labels == ",".join(sorted(base | {f[5].label for f in kept}))
+        assert abs(got[k].score - (1.0 if base and miss == 1 else 1 - miss)) < 1e-9
+        assert [(d.start, d.end, d.label) for d in got[k].detections] == sorted((spaced.count(b" ", 0, f[3]), spaced.count(b" ", 0, f[4]), f[5].label) for f in kept)
+    assert all(label in got[k].labels.split(",") for k, (_, label) in enumerate(LICENSES))
+
+
+def test_every_license_rule_is_gated_by_what_it_needs():
+    """No gate hides a match: each signature's keyword lies within a part of its regex that does not vary."""
+    rows = [x for level in (license_scan.TEXTS, license_scan.HEADERS, license_scan.NAMES, license_scan.NOTICES) for x in level]
+    own = [r for r in license_scan.rules() if r.priority < 3 or r.priority == 3 + len(license_scan.FORMS)]
+    assert len(rows) > 200 and len(set(rows)) == len(rows)
+    for r, (_, _, regex) in zip(own, rows, strict=True):
+        fixed = re.split(r"\(\?[:!=][^)]*\)\??|\[[^\]]*\]\+?|\.\{[^}]*\}\?|\)|\(|\w\?|\{", re.sub(r"licen\[cs\]", "licens", regex))
+        assert any(r.keyword.decode() in f" {x} " for x in fixed), regex
+
+
 def test_topk_equals_brute_force(spark):
     rnd = random.Random(8)
     rows = [(k, [rnd.uniform(-1, 1) for _ in range(4)]) for k in range(400)] + [(1000 + k, [0.5] * 4) for k in range(30)] + [(2000, None), (2050, [float("nan")] * 4), (2100, [1.0, None, 0.0, 0.0]), (2150, [0.25] * 3), (2200, [])]
