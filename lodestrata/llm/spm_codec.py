@@ -11,6 +11,10 @@ beginning of a word (checked when it is read), so words can be encoded apart.
 Made for models of merged pairs without normalization, with a mark before the text, as its
 configuration says; the results equal the library's.
 
+A word of any length is indexed in windows that end where no piece crosses, so a worker holds the index of WINDOW
+characters (some 0.8 KB each) beside the text and its ids. Only a stretch without any such place, as one character that
+repeats without end, is indexed as a whole.
+
 Defined results: a null text encodes as empty, to no ids; repeated rows are encoded as rows of their
 own; an empty table gives an empty result; columns beside id and text are ignored.
 """
@@ -28,14 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import bound_batches, text_or_empty
+from lodestrata.llm.common import bound_batches, in_parts, text_or_empty
 
 MARK = "▁"
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Words whose ids a worker keeps; characters joined to one text to be indexed.
 KEPT, JOINED = 400_000, 400_000
-#: Words up to this many characters are relaxed together; longer ones, one by one with a heap.
-LONG = 64
+#: Words up to this many characters are relaxed together; longer ones, one by one with a heap, so many characters at a time.
+LONG, WINDOW = 64, 100_000
+#: Longer words are not kept for the next batch.
+KEPT_CHARS = 1000
 
 
 class SuffixMatcher:
@@ -160,12 +166,34 @@ class Codec:
 
     def _learn(self, words: list[str]) -> None:
         for long in (w for w in words if len(w) > LONG):
-            start, piece = self.matcher.edges(long)
-            self.known[long] = self._relax(long, start.tolist(), piece.tolist(), 0)
+            self.known[long] = b"".join(self._relax_windows(long))
         words = [w for w in words if len(w) <= LONG]
         if words:
             self._relax_together(words)
 
+    def _relax_windows(self, word: str) -> Iterator[bytes]:
+        """A word of any length, indexed a window at a time. A window ends at the last place that no piece crosses: what lies
+        on either side of it can never be joined. Where a window has no such place it is doubled."""
+        at, size, width = 0, WINDOW, self.matcher.width
+        while at < len(word):
+            part = word[at : at + size]
+            start, piece = self.matcher.edges(part)
+            cut = len(part)
+            if at + cut < len(word):
+                to = start + self.matcher.lengths[piece]
+                crossed = np.zeros(len(part) + 2, np.int64)  # of the places start + 1 to to - 1
+                np.add.at(crossed, start + 1, 1)
+                np.add.at(crossed, to, -1)
+                free = np.flatnonzero(np.cumsum(crossed)[1 : max(1, len(part) - width)] == 0)
+                if not len(free):
+                    size *= 2
+                    continue
+                cut = int(free[-1]) + 1
+                inside = to <= cut
+                start, piece = start[inside], piece[inside]
+            yield self._relax(part[:cut], start.tolist(), piece.tolist(), 0)
+            at, size = at + cut, WINDOW
+
     def _relax_together(self, words: list[str]) -> None:
         """The same for many short words: each round joins the best pair of every word."""
         text = "\0".join(words)
@@ -230,7 +258,11 @@ class Codec:
         for words, odd in zip(split, nul, strict=True):
             seen.update(w for w in words if "\0" not in w) if odd else seen.update(words)
         self.learn(seen)
-        return [b"".join(self._with_nul(w) if odd and "\0" in w else self.known[w] for w in words) if odd else b"".join(map(self.known.__getitem__, words)) for words, odd in zip(split, nul, strict=True)]
+        out = [b"".join(self._with_nul(w) if odd and "\0" in w else self.known[w] for w in words) if odd else b"".join(map(self.known.__getitem__, words)) for words, odd in zip(split, nul, strict=True)]
+        for word in seen:
+            if len(word) > KEPT_CHARS:
+                self.known.pop(word, None)
+        return out
 
     def _with_nul(self, word: str) -> bytes:
         """The separator itself in a word: no piece holds it, so its sides are words of their own."""
@@ -255,8 +287,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in in_parts(batch, 1, 512):
                 ids = own.encode(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
 

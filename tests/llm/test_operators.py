@@ -96,6 +96,16 @@ def test_long_and_random_words_encode_as_the_library_does():
     assert [list(array.array("I", b)) for b in codec.encode(many)] == [model.encode(x) for x in many]
 
 
+def test_a_word_of_any_length_is_encoded_in_windows(monkeypatch):
+    import sentencepiece
+
+    monkeypatch.setattr(spm_codec, "WINDOW", 60)
+    model, codec, rnd = sentencepiece.SentencePieceProcessor(model_file=PIECES), spm_codec.Codec(PIECES), random.Random(17)
+    many = ["".join(rnd.choice(letters) for _ in range(20_000)) for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCxyz0189+/=", "日本語éab\n", "ab")] + ["a" * 700, "thequickbrownfox" * 500]
+    assert [list(array.array("I", b)) for b in codec.encode(many)] == [model.encode(x) for x in many]
+    assert not any(len(w) > spm_codec.KEPT_CHARS for w in codec.known)
+
+
 def test_packing_is_whole_and_gapless(docs, texts, none):
     from tokenizers import Tokenizer
 
