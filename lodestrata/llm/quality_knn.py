@@ -12,8 +12,10 @@ size of the tables; scoring is a map over all rows.
 
 Defined results: a null text is scored as empty; a text without features, or any text where no
 row is labelled, gets the sample's share of label 1 (0.5 where there is none); repeated rows are
-scored as rows of their own; labels that are null or belong to no document teach nothing; an
-empty table gives an empty result. All columns are carried along; the score's column replaces
+scored as rows of their own; labels that are null or belong to no document teach nothing; of rows
+that repeat an id, or labels that do, the least label and text teach; an
+empty table gives an empty result. A text is read whole, however long; a few bytes for each of its
+characters are held at a time. All columns are carried along; the score's column replaces
 one of the same name.
 """
 
@@ -115,7 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, dims: in
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("label")).where(~held_out() & F.col("label").isin(0, 1))
     of = [usable.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for y in (0, 1)]
     chosen = F.broadcast(of[0].unionByName(of[1]))  # at most 2 * per_label rows
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(chosen, "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.min(F.struct("label", "text")).alias("x")).select("doc_id", "x.text", "x.label")
 
     def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -11,7 +11,8 @@ The vocabulary is a SentencePiece file. Its pieces' log-probabilities are taken
 bytes. Of segmentations with equal scores the one with fewer tokens counts.
 
 Defined results: a null text counts as empty, with no tokens; repeated rows are counted as rows of
-their own; an empty table gives an empty result; columns beside id and text are ignored.
+their own; an empty table gives an empty result; columns beside id and text are ignored. A text is
+counted whole, however long, with its distinct words held at once.
 """
 
 from __future__ import annotations

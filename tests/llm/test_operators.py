@@ -348,6 +348,25 @@ def test_quality_learns_only_from_rows_not_held_out(spark):
     assert {r.score for r in quality_knn.score(docs, nothing).collect()} == {0.5}
 
 
+def test_quality_votes_equal_a_plain_neighbour_search(spark):
+    rnd = random.Random(18)
+    rows = [(k, prose(rnd, rnd.randint(5, 60)) if k % 2 else " ".join(rnd.choice("%&* 12 || AB").upper() for _ in range(rnd.randint(5, 90)))) for k in range(160)] + [(500, None), (501, "")]
+    docs = spark.createDataFrame(rows + [(3, "again")], "doc_id long, text string")
+    model = quality_knn.fit(docs, spark.createDataFrame([(k, k % 2, 0) for k in range(160)], "doc_id long, quality int, toxic int"), dims=8)
+    got = {(r.doc_id, r.text): r.score for r in quality_knn.score(docs, model).collect()}
+    for (_, text), have in got.items():
+        full = np.zeros(quality_knn.TRIPLES + quality_knn.RATES)
+        at, x = quality_knn.features(text or "")
+        full[at] = x
+        latent = full[model.kept] @ model.axes.astype(np.float64)
+        if np.linalg.norm(latent) < 1e-9:
+            assert have == model.prior
+            continue
+        near = sorted(((float(v @ latent / np.linalg.norm(latent)), y) for v, y in zip(model.vectors.astype(np.float64), model.labels, strict=True)), reverse=True)[: quality_knn.K]
+        weights = [max(0.0, s) ** quality_knn.SHARPNESS for s, _ in near]
+        assert abs(have - sum(w * y for w, (_, y) in zip(weights, near, strict=True)) / sum(weights)) < 2e-3
+
+
 def shingle_set(x):
     w = (x or "").encode().lower().split()
     return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
@@ -434,5 +453,39 @@ def test_large_differences_are_peeled_in_larger_sketches(spark):
         assert len(r.next_text_difference) == len(set(r.text.split("\n")) ^ set(r.next_text.split("\n")))
 
 
+def test_registered_queries_hold_their_contracts(spark, tmp_path):
+    rnd = random.Random(19)
+    many = [prose(rnd, rnd.randint(1, 60)).replace(" t", ". T") for _ in range(25)] + [None, "", "password=hunter22 cc by", SECRETS[0]]
+    many += [many[0], many[1] + " end", "\n".join(prose(rnd, 5) for _ in range(60))]
+    whole = dict(enumerate(many))
+    spark.createDataFrame([(k, x, "en", "s", len(x or "")) for k, x in whole.items()], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(k, k % 2, 0) for k in whole], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(7, 0, "user", "hi"), (7, 1, "assistant", None)], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    spark.createDataFrame([(k, [rnd.uniform(-1, 1) for _ in range(3)]) for k in range(60)], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    out = {name: query(spark, str(tmp_path)).collect() for name, query in queries.QUERIES.items()}
+    by = lambda name: {r.doc_id: r for r in out[name]}
+    assert [len(out[f"{x}"]) for x in ("op1_chat_format", "op6_exact_topk")] == [2, 10]
+    assert all(len(out[x]) == len(whole) for x in queries.QUERIES if x not in ("op1_chat_format", "op4_best_fit_packing", "op6_exact_topk"))
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    for r in out["op4_best_fit_packing"]:
+        ids = [*tokenizer.encode(whole[r.doc_id] or "", add_special_tokens=False).ids, 0]
+        assert (r.piece, r.start, r.length, r.ids_crc32) == (0, 0, len(ids), zlib.crc32(array.array("I", ids).tobytes()))
+    assert sequences(out["op4_best_fit_packing"], 2048) == 1 + sum(r.length for r in out["op4_best_fit_packing"]) // 2048
+    parts = lambda x: {p for p in re.split(r"\n+|(?<=[.!?]) +", x) if p}
+    like = lambda a, b: len(parts(a) & parts(b)) / len(parts(a) | parts(b)) if parts(a) | parts(b) else 1.0
+    for k, x in whole.items():
+        x, following = x or "", whole[k - 1 if k else max(whole)] or ""
+        cut = len(x) // 3
+        edited, r = x[: len(x) - cut] + following[:cut], by("op10_fingerprints")[k]
+        assert (r.n_chars, r.edited_sha256) == (len(x), hashlib.sha256(edited.encode()).hexdigest())
+        assert abs(r.near_edited - like(x, edited)) < 1e-9 and abs(r.near_next - like(x, following)) < 1e-9
+        q = by("op8_quality_knn")[k]
+        assert q.held_out == (zlib.crc32(str(k).encode()) % 3 == 1) and q.predicted == int(q.score >= 0.5)
+        assert by("op3_sentencepiece")[k].decoded_sha256 == hashlib.sha256(x.encode()).hexdigest()
+    assert {k: (r.n_shingles, r.component_id, r.kept) for k, r in by("op9_near_dedup").items()} == components_of(list(whole.items()))
+
+
 def test_every_operator_has_a_query():
     assert [int(x.split("_")[0][2:]) for x in queries.QUERIES] == list(range(1, 11))
