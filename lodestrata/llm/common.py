@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch handed to Python; bounds a worker's memory whatever the length of the texts.
-ARROW_ROWS, ARROW_BYTES = 2000, 32 << 20
+ARROW_ROWS, ARROW_BYTES = 2000, 16 << 20
 
 
 #: Ids (8 bytes each) up to which they are broadcast to meet longer rows; beyond, both sides are dealt by id.

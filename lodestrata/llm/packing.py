@@ -136,7 +136,7 @@ class WordEncoder:
 
 @lru_cache(maxsize=2)
 def word_encoder(path: str, end_id: int = 0) -> WordEncoder:
-    """One for each worker process, whose next tasks find the words of earlier ones."""
+    """One for each worker process."""
     return WordEncoder(path, end_id=end_id)
 
 
@@ -149,20 +149,23 @@ def tokenize(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer, end_id)
-        for batch in (part for whole in batches for part in in_parts(whole, 1, 4096)):
-            ids, counts = encoder.encode_batch(batch.column(1))
-            pieces = -(-counts // capacity)
-            of = np.repeat(np.arange(len(counts)), pieces)
-            piece = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            start = piece * capacity
-            length = np.minimum(counts[of] - start, capacity)
-            place = np.r_[0, np.cumsum(length)]
-            for at in range(0, len(of), PIECE_ROWS):
-                to = min(at + PIECE_ROWS, len(of))
-                edges = (4 * (place[at : to + 1] - place[at])).astype(np.int32)
-                data = pa.BinaryArray.from_buffers(pa.binary(), to - at, [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(ids[place[at] : place[to]]))])
-                columns = [batch.column(0).take(pa.array(of[at:to])), pa.array(piece[at:to], pa.int32()), pa.array(start[at:to], pa.int64()), pa.array(length[at:to], pa.int64()), data]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids"])
+        try:
+            for batch in (part for whole in batches for part in in_parts(whole, 1, 4096)):
+                ids, counts = encoder.encode_batch(batch.column(1))
+                pieces = -(-counts // capacity)
+                of = np.repeat(np.arange(len(counts)), pieces)
+                piece = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(counts[of] - start, capacity)
+                place = np.r_[0, np.cumsum(length)]
+                for at in range(0, len(of), PIECE_ROWS):
+                    to = min(at + PIECE_ROWS, len(of))
+                    edges = (4 * (place[at : to + 1] - place[at])).astype(np.int32)
+                    data = pa.BinaryArray.from_buffers(pa.binary(), to - at, [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(ids[place[at] : place[to]]))])
+                    columns = [batch.column(0).take(pa.array(of[at:to])), pa.array(piece[at:to], pa.int32()), pa.array(start[at:to], pa.int64()), pa.array(length[at:to], pa.int64()), data]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids"])
+        finally:
+            encoder.forget()  # the worker goes on to other work; the next task meets other words anyway
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(cut, PIECES)
 
