@@ -326,10 +326,12 @@ _MOVE_SCHEMA = pa.schema([(x, pa.bool_() if x == "live" else pa.int64()) for x i
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """`items` with sequence_id and offset: each sequence holds at most `capacity`, gapless from 0.
 
-    `items` is packed where it lies and written once; then underfull bins are merged up the tree. A node of the tree sees
+    `items` is written, packed where it lies and written again; then underfull bins are merged up the tree. A node of the tree sees
     no bins but how many there are of each fill, `capacity` numbers for each child at most, so none has to be left behind.
     """
     scratch = Scratch(items.sparkSession)
+    # written first: where the items come from Python too, a task has one Python worker at a time and not two
+    items = scratch.table(items, "items")
     local = scratch.table(pack_locally(items, capacity), "packed")
     mine = {c: f"_pk_{c}" for c in ("bin", "fill", "offset")}
     bins = local.where(F.col(mine["fill"]) < capacity - SLACK).groupBy(F.col(mine["bin"]).alias("bin")).agg(F.max(mine["fill"]).alias("fill"))
