@@ -213,8 +213,9 @@ def adjacent_pairs_roles(spark, d):
 
 
 @bind("""
-    WITH l AS (SELECT doc_id, string_split(CASE WHEN text LIKE '%' || chr(10) THEN text[:-2] ELSE text END, chr(10)) AS x FROM documents)
-    SELECT doc_id, generate_subscripts(x, 1) AS line_num, unnest(x) AS line FROM l""")
+    WITH l AS (SELECT doc_id, regexp_split_to_array(text, '\\r\\n|[\\n\\r\\x0B\\x0C\\x1C\\x1D\\x1E\\x{85}\\x{2028}\\x{2029}]') AS p FROM documents),
+    k AS (SELECT doc_id, CASE WHEN p[-1] = '' THEN p[:-2] ELSE p END AS x FROM l)
+    SELECT doc_id, generate_subscripts(x, 1) AS line_num, unnest(x) AS line FROM k""")
 def line_table_documents(spark, d):
     rows = line_table(t(spark, d, "documents").select("doc_id", "text"), key="doc_id")
     return rows.select("doc_id", F.col("line_num").cast("long").alias("line_num"), "line")

@@ -10,9 +10,12 @@ from lodestrata.functions.pic import normalize_pic
 from lodestrata.functions.rewrite import program_type
 from lodestrata.functions.text import strip, word
 from lodestrata.operators.extract import VERBS, data_items
-from lodestrata.operators.windows import by
+from lodestrata.operators.windows import by, upto
 from lodestrata.sources.lines import prepared, stem
 
+#: Origin lines in a span, by which paragraphs and lines meet.
+SPAN = 64
+
 
 def program_id(source_file: str = "source_file"):
     return node_id(source_file, F.lit("1"), F.lit("ProgramNode"))
@@ -49,9 +52,16 @@ def paragraphs(expanded: DataFrame) -> DataFrame:
     placed = names.join(starts, ["source_file", "name"], "left").join(total, "source_file")
     placed = placed.withColumn("start_line", F.coalesce("start_line", (F.col("idx") + 1) * 10))
     placed = placed.withColumn("end_line", F.coalesce(F.lead("start_line").over(w) - 1, "total_lines"))
-    inside = placed.join(lines, "source_file").where("origin_line_num >= start_line")
-    beyond = F.min(F.when(F.col("origin_line_num") > F.col("end_line"), F.col("expanded_line_num"))).over(Window.partitionBy("source_file", "idx"))
-    inside = inside.withColumn("stop", beyond).where("(stop IS NULL OR expanded_line_num < stop) AND origin_line_num <= end_line")
+    # counting stops at the first line whose origin lies beyond the end: the least over lines of that origin or a later one
+    beyond = F.greatest("start_line", F.col("end_line") + 1)
+    marks = lines.where("origin_line_num IS NOT NULL").select("source_file", F.col("origin_line_num").cast("long").alias("at"), F.col("expanded_line_num").alias("stop"), F.lit(None).cast("int").alias("idx"))
+    marks = marks.unionByName(placed.select("source_file", beyond.cast("long").alias("at"), F.lit(None).cast(lines.schema["expanded_line_num"].dataType).alias("stop"), "idx"))
+    later = upto(Window.partitionBy("source_file").orderBy(F.desc("at"), F.col("idx").asc_nulls_first()))
+    stops = marks.withColumn("stop", F.min("stop").over(later)).where("idx IS NOT NULL").drop("at")
+    # a line meets the paragraphs that reach into its span of origins, and not all of its file
+    spans = placed.where("start_line <= end_line").select("source_file", "idx", "start_line", "end_line", F.explode(F.sequence(F.expr(f"start_line div {SPAN}"), F.expr(f"end_line div {SPAN}"))).alias("span"))
+    near = spans.join(lines.withColumn("span", F.expr(f"origin_line_num div {SPAN}")), ["source_file", "span"]).where("origin_line_num BETWEEN start_line AND end_line")
+    inside = near.join(stops, ["source_file", "idx"]).where("stop IS NULL OR expanded_line_num < stop")
     has = lambda p: F.col("t").rlike(p).cast("int")
     branches = has(r"\bIF\b") + has(r"\bEVALUATE\b") + has(r"\bWHEN\b") + has(r"\bPERFORM\s+(UNTIL|VARYING)\b")
     counts = inside.groupBy("source_file", "idx").agg(F.count_if(word("t").isin(*VERBS)).alias("statement_count"), (F.sum(branches) + 1).alias("complexity"))

@@ -9,6 +9,9 @@ from lodestrata.functions.text import group, groups, none_if_empty, strip
 from lodestrata.operators.windows import by, carry_forward, first_wins, running
 from lodestrata.sources.lines import joined_files, stem
 
+#: Most characters of a DD name.
+DD_NAME = 8
+
 def _file() -> WindowSpec:
     return by("source_file", "line_num")
 
@@ -262,8 +265,8 @@ def vsam_schemas(files: DataFrame, lines: DataFrame, overrides: DataFrame | None
     base = base.select("name", F.col("dsname").alias("dsn"), "status", "read", "add", "update", "delete", vsam_type("dsname").alias("vsam_type"))
     text = strip("line")
     select = r"(?i)SELECT\s+([A-Z0-9-]+)\s+ASSIGN\s+TO\s+([A-Z0-9-]+)"
-    assigned = joined_files(lines).select("source_file", F.explode(F.arrays_zip(groups("text", select, 1).alias("fd"), groups("text", select, 2).alias("file"))).alias("s"))
-    assigned = assigned.groupBy("source_file", F.upper("s.fd").alias("fd")).agg(F.upper(F.last("s.file")).alias("file"))
+    assigned = joined_files(lines).select("source_file", F.posexplode(F.arrays_zip(groups("text", select, 1).alias("fd"), groups("text", select, 2).alias("file"))).alias("place", "s"))
+    assigned = assigned.groupBy("source_file", F.upper("s.fd").alias("fd")).agg(F.upper(F.max_by("s.file", "place")).alias("file"))
     # a description goes from its FD line to the first line that begins a record
     fd = F.when(text.rlike(r"(?i)^FD\s+[A-Z0-9-]+"), F.upper(group(text, r"(?i)^FD\s+([A-Z0-9-]+)")))
     rows = lines.withColumns({"fd": carry_forward(fd, _file()), "is_fd": fd.isNotNull(), "record": text.startswith("01 ")})
@@ -291,12 +294,16 @@ def vsam_schemas(files: DataFrame, lines: DataFrame, overrides: DataFrame | None
 
 
 def vsam_from_jobs(schemas: DataFrame, jobs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(name, dd_name, program): files, the DD that a job gives their dataset, and programs that assign it by that name."""
+    """(name, dd_name, program): files, the DD that a job gives their dataset, and programs that assign a name which holds that of the DD.
+
+    A DD name has 1 to 8 characters, so the names assigned are taken apart into pieces of that length and meet it by equality.
+    """
     select = r"(?i)SELECT\s+([A-Z0-9-]+)\s+ASSIGN\s+(?:TO\s+)?([A-Z0-9-]+)"
     assigned = joined_files(lines).select(F.upper(stem("source_file")).alias("program"), F.explode(groups("text", select, 2)).alias("assign")).select("program", F.upper("assign").alias("assign")).distinct()
     dds = jobs.where(~F.col("dd_name").startswith("SYS")).groupBy(F.col("dataset_name").alias("dsn")).agg(F.max_by("dd_name", F.struct("source_file", "line_num")).alias("dd_name"))
-    named = schemas.join(dds, "dsn")
-    meets = (F.col("assign") == F.col("dd_name")) | (F.col("assign") == F.concat("dd_name", F.lit("FILE"))) | F.col("assign").contains(F.col("dd_name"))
-    return named.join(assigned, meets).select("name", "dd_name", "program").distinct()
+    start, size = F.sequence(F.lit(1), F.greatest(F.length("assign"), F.lit(1))), F.sequence(F.lit(1), F.lit(DD_NAME))
+    pieces = F.array_distinct(F.flatten(F.transform(start, lambda at: F.transform(size, lambda n: F.substring(F.col("assign"), at, n)))))
+    parts = assigned.select("program", F.explode(pieces).alias("dd_name")).distinct()
+    return schemas.join(dds, "dsn").join(parts, "dd_name").select("name", "dd_name", "program").distinct()
 
 

@@ -9,9 +9,13 @@ from lodestrata.functions.text import as_col, strip
 from lodestrata.operators.windows import before, by, first_wins
 
 
+#: What ends a line: besides CR and LF the vertical tab, form feed (a page break), the separators 1C to 1E, NEL, LS and PS.
+LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x{85}\x{2028}\x{2029}]"
+
+
 def split_lines(text: Column | str) -> Column:
     """The lines of a text; a final line break begins no line."""
-    parts = F.split(as_col(text), r"\r\n|\r|\n", -1)
+    parts = F.split(as_col(text), LINE_END, -1)
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 

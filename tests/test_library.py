@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lodestrata import bindings, fixtures
 from lodestrata.functions.ids import node_id
 from lodestrata.functions.text import strip
-from lodestrata.operators import extract, graph
+from lodestrata.operators import extract, graph, structure
 from lodestrata.operators.windows import blocks, by, clamped
 from lodestrata.plans.store import SCHEMAS, schema
 from lodestrata.sources.lines import split_lines
@@ -27,6 +27,38 @@ def test_strip_takes_tabs_and_lines_keep_inner_blanks(spark):
     assert row.s == "a b" and row.t == ["x", "", "y"]
 
 
+def test_lines_end_where_splitlines_ends_them(spark):
+    ends = ["\r\n", "\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029", "\x1f", " "]
+    texts = [f"a{x}b{y}" for x in ends for y in ends]
+    got = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "k int, t string").select("k", split_lines("t").alias("t")).collect()
+    assert {r.k: r.t for r in got} == {k: x.splitlines() for k, x in enumerate(texts)}
+
+
+def test_paragraph_counts_equal_the_walk(spark):
+    """Origins that jump back (copied lines), repeated names and paragraphs that overlap or are empty."""
+    rnd, rows = random.Random(9), []
+    for f in range(12):
+        rows.append((f"P{f}.cbl", 1, 1, "       PROCEDURE DIVISION."))
+        for n in range(2, 120):
+            origin = rnd.randrange(1, 300) if rnd.random() < 0.04 * (f % 3) else n + 100 * (f % 2)
+            line = f"       {rnd.choice('ABCDEF')}-PARA." if rnd.random() < 0.08 else "           " + rnd.choice(["MOVE A TO B", "IF A = B", "EVALUATE X", "WHEN 1", "PERFORM UNTIL Z", "CONTINUE", "X"])
+            rows.append((f"P{f}.cbl", n, origin, line))
+    expanded = spark.createDataFrame(rows, "source_file string, expanded_line_num int, origin_line_num int, content string")
+    got = structure.paragraphs(expanded).collect()
+    assert len(got) > 60
+    for p in got:
+        statements, branches = 0, 1
+        for _, _, origin, line in sorted(r for r in rows if r[0] == p.source_file):
+            if origin < p.start_line:
+                continue
+            if origin > p.end_line:
+                break
+            words = line.split()
+            statements += words[0] in extract.VERBS
+            branches += words[0] in ("IF", "EVALUATE", "WHEN") or words[:2] == ["PERFORM", "UNTIL"]
+        assert (p.statement_count, p.complexity) == (statements, branches), p
+
+
 def test_clamped_counter_is_the_naive_walk(spark):
     rnd = random.Random(1)
     rows = [(g, k, rnd.choice([-1, -1, 0, 1])) for g in range(10) for k in range(50)]
