@@ -21,6 +21,16 @@ def prose(rnd, n):
     return " ".join(rnd.choice(WORDS) + str(rnd.randrange(40)) for _ in range(n))
 
 
+@pytest.fixture
+def compiled(spark):
+    """Whole-stage code generation as users have it; the other tests do without, since they run many small plans."""
+    key = "spark.sql.codegen.wholeStage"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    yield
+    spark.conf.set(key, before)
+
+
 @pytest.fixture(scope="module")
 def texts():
     rnd = random.Random(5)
@@ -280,7 +290,7 @@ SECRETS = [
 ]
 
 
-def test_secret_scan_equals_regexes(spark, docs, texts, none):
+def test_secret_scan_equals_regexes(spark, compiled, docs, texts, none):
     many = [*texts, *SECRETS]
     got = {r.doc_id: [(s.start, s.rank, s.end, s.kind) for s in r.secret_spans] for r in secret_scan.scan(spark.createDataFrame(list(enumerate(many)), "doc_id long, text string")).collect()}
     for k, x in enumerate(many):
@@ -429,7 +439,7 @@ def test_superminhash_estimates_similarity():
     assert (near_dedup.signatures([np.union1d(a, b)])[0] == np.minimum(x, y)).all()
 
 
-def test_fingerprints_equal_paragraph_sets(spark, texts, none):
+def test_fingerprints_equal_paragraph_sets(spark, compiled, texts, none):
     rows = [(k, x) for k, x in enumerate([*texts, "One. Two. Three.\nFour", "One. Two. Three.\nFour"])]
     parts = lambda x: {p for p in re.split(r"\n+|(?<=[.!?]) +", x) if p}
     like = lambda a, b: len(parts(a) & parts(b)) / len(parts(a) | parts(b)) if parts(a) | parts(b) else 1.0
