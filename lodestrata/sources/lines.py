@@ -25,12 +25,17 @@ def line_table(files: DataFrame, text: str = "text", key: str = "source_file") -
     return files.select(*rest, F.posexplode(split_lines(text)).alias("pos", "line")).select(*rest, (F.col("pos") + 1).alias("line_num"), "line")
 
 
+def file_name() -> Column:
+    """The name of the file that a row was read from; metadata escapes blanks and the like as in an address, but no +."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def read_texts(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
     """(source_file, path, text) of every file: one row a file, bad bytes replaced."""
     reader = spark.read.option("recursiveFileLookup", recursive)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return reader.text(path, wholetext=True).select(file_name().alias("source_file"), F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

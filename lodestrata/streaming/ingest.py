@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lodestrata.sources.lines import line_table
+from lodestrata.sources.lines import file_name, line_table
 
 
 def stream_lines(spark: SparkSession, path: str, pattern: str = "*", files_per_trigger: int = 1000) -> DataFrame:
     """A stream of (source_file, line_num, line) from files that appear under `path`; each file is read once, whole."""
-    reader = spark.readStream.option("wholetext", True).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_trigger)
-    files = reader.text(path).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("source_file"), F.col("value").alias("text"))
+    reader = spark.readStream.option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_trigger)
+    files = reader.text(path, wholetext=True).select(file_name().alias("source_file"), F.col("value").alias("text"))
     return line_table(files)
 
 

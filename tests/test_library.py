@@ -12,7 +12,7 @@ from lodestrata.functions.text import strip
 from lodestrata.operators import extract, graph, structure
 from lodestrata.operators.windows import blocks, by, clamped
 from lodestrata.plans.store import SCHEMAS, schema
-from lodestrata.sources.lines import split_lines
+from lodestrata.sources.lines import read_texts, split_lines
 
 GOLDEN = {"FIXA01C.cbl:1:ProgramNode": "8b8e6a5d040b60565cdea08b11f22bd5", "FIXA01C.cbl:9:ParagraphNode": "f63132171c4f3483e52fb9b721650e80", "FIXA01C.cbl:32:RETURN": "47ef5944056dbd2f728a6115f3aa80c4"}
 
@@ -154,6 +154,21 @@ def test_look_ups_reach_the_reader(spark, tmp_path):
     assert sorted(r.id for r in both.collect()) == ["1", "2"]
 
 
+def test_files_that_arrive_become_lines_once(spark, tmp_path):
+    from lodestrata.streaming.ingest import append_lines, stream_lines
+
+    (tmp_path / "in").mkdir()
+    places = str(tmp_path / "out"), str(tmp_path / "state")
+    want = set()
+    for k, name in enumerate(("A.cbl", "b 2.cbl", "c+%20.cbl", "skipped.txt")):
+        (tmp_path / "in" / name).write_text(f"one {k}\n\ntwo")
+        append_lines(stream_lines(spark, str(tmp_path / "in"), "*.cbl"), *places).awaitTermination()
+        want |= {(name, 1, f"one {k}"), (name, 2, ""), (name, 3, "two")} if name.endswith("cbl") else set()
+        got = [tuple(r) for r in spark.read.parquet(places[0]).select("source_file", "line_num", "line").collect()]
+        assert sorted(got) == sorted(want)
+    assert {r.source_file for r in read_texts(spark, str(tmp_path / "in"), "*.cbl").collect()} == {x[0] for x in want}
+
+
 def test_artifacts_as_json(spark, tmp_path):
     from lodestrata.plans import store
 
