@@ -85,36 +85,51 @@ def transaction_flow(calls: DataFrame, cics: DataFrame, transactions: DataFrame)
     return rows.select("from_program", "to_program", "edge_type", F.coalesce("f", none).alias("from_transid"), F.coalesce("given", "t", none).alias("to_transid"), F.lit(None).cast("int").alias("commarea_size"), "paragraph", "line", "source_file")
 
 
-#: Classes that meet as many others in one task where they share an element; parts in which elements are numbered.
-BLOCK, PARTS = 1024, 1024
+#: Classes that meet as many others in one task where they share an element; parts in which elements are numbered; tasks in
+#: which classes meet, at least; most frequent elements, which are bits of one number.
+BLOCK, PARTS, TASKS, BITS = 1024, 1024, 64, 63
 
 
 def jaccard_classes(rows: DataFrame, group: str, element: list[str], threshold: float, digits: int = 3) -> tuple[DataFrame, DataFrame]:
     """(a, b, shared, similarity) of classes whose sets of distinct elements are alike, a < b; (rep, g, size) of every group.
 
-    Groups with equal sets are one class, named by its least group. Classes meet only where they share an element, and only
-    over their rarest elements: two sets can be alike only if they share one of the first n - ceil(threshold * n) + 1 of a
-    common order. Classes of a common element are dealt out as blocks. Where they meet, sizes and masks of 64 bits rule out
-    most pairs: a bit of one mask that the other lacks stands for at least one element that is not shared.
+    Groups with equal sets are one class, named by its least group. A set is a mask `m` of the most frequent elements and the
+    sorted numbers `s` of the others, which come first in the common order, rare ones before frequent ones. Classes meet only
+    at an element that both have among their first ones: the smaller set, of n elements, up to n - ceil(2t / (1 + t) * n) + 1,
+    the larger up to n - ceil(t * n) + 1, and count only at the first that they share, so each pair is found once. Classes of
+    a common element are dealt out as blocks. Where they meet, sizes, `m` and a hashed mask `h` of `s` rule out most pairs.
     """
     items = rows.select(F.col(group).alias("g"), F.struct(*element).alias("e")).where("g IS NOT NULL").distinct()
-    common = items.groupBy("e").agg(F.count("*").alias("n")).withColumn("part", F.pmod(F.xxhash64("e"), F.lit(PARTS)))
-    numbered = common.select("e", "n", (F.row_number().over(by("part", "e")) * PARTS + F.col("part")).alias("x"))
-    sets = items.join(numbered, "e").groupBy("g").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("s")).select("g", F.transform("s", lambda x: x["x"]).alias("s"))
-    reps = sets.groupBy("s").agg(F.min("g").alias("rep"))
-    members = sets.join(reps, "s").select("rep", "g", F.size("s").cast("long").alias("size"))
-    size = F.size("s")
-    prefix = F.slice("s", F.lit(1), size - F.ceil(F.lit(threshold) * size - 1e-9).cast("int") + 1)
-    mask = F.expr("aggregate(s, 0L, (m, x) -> m | shiftleft(1L, cast(pmod(xxhash64(x), 64) AS int)))")
-    heads = reps.select("rep", "s", size.alias("k"), mask.alias("m"), F.explode(prefix).alias("x"))
-    heads = heads.join(heads.groupBy("x").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "x")
-    side = lambda p, block: heads.select("x", block.alias("block"), F.col("rep").alias(p), *(F.col(c).alias(f"{c}{p}") for c in "skm"))
-    met = side("a", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).join(side("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), ["x", "block"])
-    most = F.expr("least(ka - bit_count(ma & ~mb), kb - bit_count(mb & ~ma))")
-    met = met.where((F.col("a") < F.col("b")) & (most * (1 + threshold) >= threshold * (F.col("ka") + F.col("kb")) - 1e-9))
-    both = met.select("a", "b", "ka", "kb", F.size(F.array_intersect("sa", "sb")).alias("shared"))
-    both = both.withColumn("raw", F.col("shared") / (F.col("ka") + F.col("kb") - F.col("shared"))).where(F.col("raw") >= threshold).distinct()
-    return both.select("a", "b", F.col("shared").cast("long").alias("shared"), F.round("raw", digits).alias("similarity")), members
+    counts = items.groupBy("e").agg(F.count("*").alias("n"))
+    frequent = counts.orderBy(F.desc("n"), "e").limit(BITS).agg(F.array_sort(F.collect_list(F.struct("n", "e"))).alias("l"))
+    bits = F.broadcast(frequent.select(F.posexplode("l").alias("bit", "l")).select(F.col("l.e").alias("e"), "bit"))
+    rare = counts.join(bits, "e", "left_anti").withColumn("part", F.pmod(F.xxhash64("e"), F.lit(PARTS)))
+    numbered = rare.select("e", (F.row_number().over(by("part", ["n", "e"])) * PARTS + F.col("part")).alias("x"))
+    masks = items.join(bits, "e").select("g", F.expr("shiftleft(1L, bit)").alias("m"), F.lit(None).cast("long").alias("x"))
+    others = items.join(bits, "e", "left_anti").join(numbered, "e").select("g", F.lit(0).cast("long").alias("m"), "x")
+    sets = masks.unionByName(others).groupBy("g").agg(F.bit_or("m").alias("m"), F.array_sort(F.collect_list("x")).alias("s"))
+    reps = sets.groupBy("m", "s").agg(F.min("g").alias("rep"))
+    members = sets.join(reps, ["m", "s"]).select("rep", "g", (F.bit_count("m") + F.size("s")).cast("long").alias("size"))
+
+    ordered = F.expr(f"concat(s, filter(sequence(0L, {BITS - 1}L), i -> (shiftright(m, cast(i AS int)) & 1L) = 1L))")
+    hashed = F.expr("aggregate(s, 0L, (h, x) -> h | shiftleft(1L, cast(pmod(xxhash64(x), 64) AS int)))")
+    whole = reps.select("rep", "m", "s", hashed.alias("h"), ordered.alias("o")).withColumn("k", F.size("o"))
+    heads = lambda least: whole.select("rep", "k", "m", "h", "s", F.explode(F.slice("o", F.lit(1), F.col("k") - F.ceil(least * F.col("k") - 1e-9).cast("int") + 1)).alias("x"))
+    small, large = heads(2 * threshold / (1 + threshold)), heads(threshold)
+    blocks = F.broadcast(small.groupBy("x").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1"))
+    tasks = max(TASKS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = F.coalesce("blocks", F.lit(1))
+    side = lambda heads, p, block: heads.join(blocks, "x", "left").select("x", block.alias("block"), *(F.col(c).alias(c + p) for c in ("rep", *"kmhs"))).repartition(tasks, "x", "block")
+    # the block, which is held, stands to the right; every row of the larger sets is sent through it
+    met = side(large, "b", F.explode(F.sequence(F.lit(0), n - 1))).join(side(small, "a", F.pmod(F.xxhash64("rep"), n).cast("int")), ["x", "block"])
+    most = F.expr("bit_count(ma & mb) + least(size(sa) - bit_count(ha & ~hb), size(sb) - bit_count(hb & ~ha))")
+    met = met.where("(ka < kb OR (ka = kb AND repa < repb))").where(F.col("kb") * threshold <= F.col("ka") + 1e-9)
+    met = met.where(f"x >= {BITS} OR (ma & mb & (shiftleft(1L, cast(least(x, {BITS - 1}L) AS int)) - 1L)) = 0L")
+    met = met.where(most * (1 + threshold) >= threshold * (F.col("ka") + F.col("kb")) - 1e-9)
+    both = met.withColumn("i", F.expr("if(size(sa) = 0 OR size(sb) = 0, array(), array_intersect(sa, sb))"))
+    both = both.where(f"if(size(i) = 0, x < {BITS}, x = array_min(i))").withColumn("shared", F.expr("bit_count(ma & mb) + size(i)"))
+    both = both.withColumn("raw", F.col("shared") / (F.col("ka") + F.col("kb") - F.col("shared"))).where(F.col("raw") >= threshold)
+    return both.select(F.least("repa", "repb").alias("a"), F.greatest("repa", "repb").alias("b"), F.col("shared").cast("long").alias("shared"), F.round("raw", digits).alias("similarity")), members
 
 
 def jaccard_pairs(rows: DataFrame, group: str, element: list[str], threshold: float, digits: int = 3) -> DataFrame:

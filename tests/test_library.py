@@ -111,6 +111,23 @@ def test_jaccard_pairs_equal_all_pairs(spark):
     assert got == {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.6}
 
 
+def test_jaccard_pairs_of_frequent_and_rare_elements(spark):
+    # more elements than bits: sets of frequent elements only, of rare ones only, and of both
+    rnd = random.Random(11)
+    sets = {g: {rnd.randrange(40) for _ in range(rnd.randint(0, 6))} | {rnd.randrange(40, 400) for _ in range(rnd.randint(0, 4))} for g in range(300)}
+    for g in range(300, 600):
+        near = set(sets[rnd.randrange(g)])
+        sets[g] = (near - {rnd.choice(sorted(near))} if near else near) | {rnd.randrange(400)}
+    rows = spark.createDataFrame([(g, x) for g, s in sets.items() for x in s], "g long, x long")
+    for threshold in (0.5, 0.6, 0.8):
+        pairs, members = graph.jaccard_classes(rows, "g", ["x"], threshold)
+        rep = {r.g: r.rep for r in members.collect()}
+        got = sorted((r.a, r.b, r.shared) for r in pairs.collect())
+        least = sorted(set(rep.values()))
+        want = [(a, b, len(sets[a] & sets[b])) for a in least for b in least if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= threshold]
+        assert got == want and rep == {g: min(h for h, s in sets.items() if s == sets[g]) for g in sets if sets[g]}
+
+
 def test_extraction_does_not_depend_on_partitions(spark):
     lines = fixtures.lines(spark, fixtures.PROGRAMS)
     one, many = extract.control_flow(lines.coalesce(1)), extract.control_flow(lines.repartition(7))

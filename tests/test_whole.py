@@ -1,6 +1,10 @@
 """Registered queries over tables whose keys lie beyond any bound: every row counts."""
 
 import random
+import time
+
+import numpy as np
+from pyspark.sql import functions as F
 
 from lodestrata import bindings
 
@@ -32,6 +36,20 @@ def test_clones_of_all_customers(spark, tmp_path):
     assert len([r for r in rows if r.kind == "pair"]) == len({(r.a, r.b) for r in rows if r.kind == "pair"}) and len(of) == len([r for r in rows if r.kind == "member"])
 
 
+def test_clones_among_all_subsets_of_few_elements(spark, tmp_path):
+    # 8,191 classes that nearly all share an element: each pair is found once, at the first element that both have
+    elements, sets = [(s, p) for s in "OFP" for p in "12345"][:13], np.arange(1, 8192)
+    put(spark, tmp_path, "orders", [(int(g), *x) for g in sets for k, x in enumerate(elements) if g >> k & 1], "o_custkey long, o_orderstatus string, o_orderpriority string")
+    began = time.perf_counter()
+    got = bindings.QUERIES["clone_jaccard"](spark, str(tmp_path)).groupBy("kind").agg(F.count("*").alias("n"), F.sum("shared").alias("shared"), F.count_distinct("a", "b").alias("pairs")).collect()
+    took = time.perf_counter() - began
+    both = [(np.bitwise_count(sets[:g] & g).astype(int), np.bitwise_count(sets[:g] | g)) for g in sets]
+    alike = [shared[(shared / either >= 0.6) & (shared < either)] for shared, either in both]
+    n = sum(map(len, alike))
+    assert [tuple(r) for r in got] == [("pair", n, sum(int(x.sum()) for x in alike), n)]
+    assert took < 25, took  # 4 cores; as long as pairs met at every element that they share it took several times as long
+
+
 def test_dependencies_through_lines_of_any_quantity(spark, tmp_path):
     rnd = random.Random(7)
     lines = [(rnd.randrange(8), rnd.randrange(30), rnd.choice("NRA"), float(rnd.randint(1, 50))) for _ in range(300)]
