@@ -1,7 +1,9 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-A batch's distinct words (a space mark and what follows it, up to the next mark) are joined to one
-text and its suffixes sorted by as many characters as the longest piece has. Every piece finds the
+A batch's distinct words (a space mark and what follows it, up to the next mark) are cut into parts
+between characters that no piece has in a row: nothing is ever joined across such a place. Parts not
+yet known are joined to one text and its suffixes sorted by as many characters as the longest piece
+has, by doubling: suffixes' ranks by 4 characters give those by 8. Every piece finds the
 range of suffixes that begin with it by binary search, all pieces at once; the occurrences are the
 edges, sorted by position. Edges are relaxed in the order of the model's merges: as long as two
 neighbouring tokens of a word form an edge, the best-scored such edge (the leftmost of equals) joins
@@ -36,8 +38,8 @@ from lodestrata.llm.common import bound_batches, in_parts, text_or_empty
 
 MARK = "▁"
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Words whose ids a worker keeps; characters joined to one text to be indexed.
-KEPT, JOINED = 400_000, 400_000
+#: Words and parts of words whose ids a worker keeps; characters joined to one text to be indexed, and to one to be cut.
+KEPT, KEPT_PARTS, JOINED, CUT = 200_000, 300_000, 400_000, 1_600_000
 #: Words up to this many characters are relaxed together; longer ones, one by one with a heap, so many characters at a time.
 LONG, WINDOW = 64, 100_000
 #: Longer words are not kept for the next batch.
@@ -60,10 +62,29 @@ class SuffixMatcher:
             row[: len(p)] = self._codes(p)
         beyond = np.arange(self.width)[None, :] >= self.lengths[:, None]
         self.low, self.high = self._keys(codes), self._keys(np.where(beyond, np.uint64(0xFFFF), codes))
+        # whether a piece may have two characters in a row, by a hash of both: a cut that a collision hides does no harm
+        self.inner = np.zeros(1 << 20, bool)
+        left, right = codes[:, :-1], codes[:, 1:]
+        self.inner[self._pair(left, right)[right > 0]] = True
 
     def _codes(self, text: str) -> np.ndarray:
         return self.number[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
+    @staticmethod
+    def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return (left.astype(np.uint32) * np.uint32(40_503) + right.astype(np.uint32)) & np.uint32((1 << 20) - 1)
+
+    def parts(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The parts of all words, which no piece leaves, and how many each word has."""
+        text = "".join(words)
+        codes = self._codes(text)
+        begins = np.r_[True, ~self.inner[self._pair(codes[:-1], codes[1:])]]
+        heads = np.cumsum([0, *map(len, words)])
+        begins[heads[:-1]] = True
+        at = np.flatnonzero(begins)
+        bounds = [*at.tolist(), len(text)]
+        return [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)], np.diff(np.searchsorted(at, heads))
+
     @staticmethod
     def _keys(codes: np.ndarray) -> list[np.ndarray]:
         """Four 16-bit characters to a key, the first characters first."""
@@ -75,14 +96,30 @@ class SuffixMatcher:
         codes = np.zeros(n + self.width, np.uint64)
         codes[:n] = self._codes(text)
         keys = self._keys(np.lib.stride_tricks.sliding_window_view(codes, self.width)[:n])
-        order = np.lexsort(keys[::-1])
+        order = self._sorted(keys[0], self.width)
         keys = [k[order] for k in keys]
         first, last = self._search(keys, self.low, False), self._search(keys, self.high, True)
         found = np.maximum(last - first, 0)
         piece = np.repeat(np.arange(len(found)), found)
         at = order[np.arange(found.sum()) - np.repeat(np.cumsum(found) - found, found) + np.repeat(first, found)]
-        by = np.lexsort((self.lengths[piece], at))
-        return at[by], piece[by]
+        # one number for place, length and piece
+        longest, many = self.width + 1, len(self.lengths)
+        place, piece = np.divmod(np.sort((at * longest + self.lengths[piece]) * many + piece), many)
+        return place // longest, piece
+
+    @staticmethod
+    def _sorted(key: np.ndarray, width: int) -> np.ndarray:
+        """The order of suffixes by `width` characters; `key` holds the first four of each."""
+        n, span = len(key), 4
+        while True:
+            order = np.argsort(key)
+            if span >= width or span >= n:
+                return order
+            sorted_key = key[order]
+            rank = np.zeros(n + span, np.uint64)
+            rank[order] = np.cumsum(np.r_[True, sorted_key[1:] != sorted_key[:-1]])
+            key = rank[:n] << np.uint64(32) | rank[span:]
+            span *= 2
 
     @staticmethod
     def _search(keys: list[np.ndarray], sought: list[np.ndarray], right: bool) -> np.ndarray:
@@ -100,6 +137,24 @@ class SuffixMatcher:
         return lo
 
 
+def _chunks(words: Iterable[str], chars: int) -> Iterator[list[str]]:
+    """Lists of at least `chars` characters, but for the last."""
+    words = list(words)
+    if sum(map(len, words)) + len(words) <= chars:
+        if words:
+            yield words
+        return
+    held, size = [], 0
+    for word in words:
+        held.append(word)
+        size += len(word) + 1
+        if size > chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 class Codec:
     def __init__(self, path: str, most: int = KEPT) -> None:
         import sentencepiece
@@ -118,7 +173,7 @@ class Codec:
         if any(MARK in p.lstrip(MARK) for p in pieces):
             raise ValueError("a piece crosses the beginning of a word")
         self.matcher = SuffixMatcher(pieces)
-        self.most, self.known = most, {}
+        self.most, self.known, self.parts, self.unkept = most, {}, {}, []  # unkept: words of KEPT_CHARS and more
 
     def _relax(self, word: str, starts: list[int], pieces: list[int], base: int) -> bytes:
         """Join neighbours along the word's edges, the best-scored first; `base` is where the word stands."""
@@ -151,25 +206,27 @@ class Codec:
         return out.tobytes()
 
     def learn(self, words: Iterable[str]) -> None:
-        if len(self.known) > self.most:
-            self.known = {}
-        held, size = [], 0
-        for word in words:
-            if word not in self.known:
-                held.append(word)
-                size += len(word) + 1
-            if size > JOINED:
-                self._learn(held)
-                held, size = [], 0
-        if held:
-            self._learn(held)
+        for some in _chunks(set(words).difference(self.known), CUT):
+            self._learn(some)
 
     def _learn(self, words: list[str]) -> None:
-        for long in (w for w in words if len(w) > LONG):
-            self.known[long] = b"".join(self._relax_windows(long))
-        words = [w for w in words if len(w) <= LONG]
-        if words:
-            self._relax_together(words)
+        if max(map(len, words)) > LONG:
+            for long in (w for w in words if len(w) > LONG):
+                self.known[long] = b"".join(self._relax_windows(long))
+                if len(long) > KEPT_CHARS:
+                    self.unkept.append(long)
+            words = [w for w in words if len(w) <= LONG]
+            if not words:
+                return
+        parts, counts = self.matcher.parts(words)
+        if len(self.parts) > KEPT_PARTS:
+            self.parts = {}
+        for some in _chunks(set(parts).difference(self.parts), JOINED):
+            self._relax_together(some)
+        ids, at = list(map(self.parts.__getitem__, parts)), 0
+        for word, n in zip(words, counts.tolist(), strict=True):
+            self.known[word] = ids[at] if n == 1 else b"".join(ids[at : at + n])
+            at += n
 
     def _relax_windows(self, word: str) -> Iterator[bytes]:
         """A word of any length, indexed a window at a time. A window ends at the last place that no piece crosses: what lies
@@ -195,7 +252,7 @@ class Codec:
             at, size = at + cut, WINDOW
 
     def _relax_together(self, words: list[str]) -> None:
-        """The same for many short words: each round joins the best pair of every word."""
+        """The same for many short parts of words: each round joins the best pair of every part."""
         text = "\0".join(words)
         start, piece = self.matcher.edges(text)
         width, scores, n = self.matcher.width + 1, np.array(self.scores), len(text)
@@ -218,11 +275,17 @@ class Codec:
         place = np.arange(n)
         after, before, live = place + 1, place - 1, place < end
         pair = gain(place, place + 2, place + 2 <= end)
+        seat, head = place, base  # the places of the parts in which there still is a pair, and where each part begins among them
         while True:
-            best = np.maximum.reduceat(pair, base)
-            i = np.flatnonzero((pair == best[of]) & (pair > -np.inf))
-            if not len(i):
+            now = pair[seat]
+            best = np.maximum.reduceat(now, head)
+            going, size = best > -np.inf, np.diff(np.r_[head, len(seat)])
+            if not going.any():
                 break
+            i = seat[(now == np.repeat(best, size)) & (now > -np.inf)]
+            if np.count_nonzero(going) < 0.8 * len(going):
+                seat, size = seat[np.repeat(going, size)], size[going]
+                head = np.cumsum(size) - size
             i = i[np.r_[True, of[i[1:]] != of[i[:-1]]]]  # the leftmost of equals
             j = after[i]
             k = after[j]
@@ -246,9 +309,9 @@ class Codec:
                         whole.append(self.plain[p])
                     else:
                         whole.extend(self.byte_ids.get(b, self.unknown) for b in text[a : after[a]].encode("utf-8", "surrogatepass"))
-                self.known[word] = whole.tobytes()
+                self.parts[word] = whole.tobytes()
             else:
-                self.known[word] = ids[4 * lo : 4 * hi]
+                self.parts[word] = ids[4 * lo : 4 * hi]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -257,11 +320,13 @@ class Codec:
         seen: set[str] = set()
         for words, odd in zip(split, nul, strict=True):
             seen.update(w for w in words if "\0" not in w) if odd else seen.update(words)
+        if len(self.known) > self.most:  # here only: words with the separator are learnt while the others are read
+            self.known = {}
         self.learn(seen)
         out = [b"".join(self._with_nul(w) if odd and "\0" in w else self.known[w] for w in words) if odd else b"".join(map(self.known.__getitem__, words)) for words, odd in zip(split, nul, strict=True)]
-        for word in seen:
-            if len(word) > KEPT_CHARS:
-                self.known.pop(word, None)
+        for word in self.unkept:
+            self.known.pop(word, None)
+        self.unkept = []
         return out
 
     def _with_nul(self, word: str) -> bytes:

@@ -106,6 +106,27 @@ def test_long_and_random_words_encode_as_the_library_does():
     assert [list(array.array("I", b)) for b in codec.encode(many)] == [model.encode(x) for x in many]
 
 
+def test_parts_that_words_share_are_indexed_once(monkeypatch):
+    import sentencepiece
+
+    model, codec, rnd, indexed = sentencepiece.SentencePieceProcessor(model_file=PIECES), spm_codec.Codec(PIECES), random.Random(18), []
+    edges = spm_codec.SuffixMatcher.edges
+    monkeypatch.setattr(spm_codec.SuffixMatcher, "edges", lambda self, text: indexed.append(len(text)) or edges(self, text))
+    names = ["".join(rnd.choice("abcdefghéñ日") for _ in range(rnd.randint(1, 9))) for _ in range(60)]
+    many = [f"{a}.\n{b}!7{a}" for a in names for b in names]
+    assert [list(array.array("I", x)) for k in range(0, len(many), 900) for x in codec.encode(many[k : k + 900])] == [model.encode(x) for x in many]
+    assert 0 < sum(indexed) < sum(map(len, many)) / 20
+
+
+def test_a_full_memory_of_words_is_not_emptied_within_a_batch():
+    import sentencepiece
+
+    model, codec = sentencepiece.SentencePieceProcessor(model_file=PIECES), spm_codec.Codec(PIECES, most=3)
+    many = ["one\0two three", "four five six seven", "eight\0nine one"]
+    for _ in range(3):
+        assert [list(array.array("I", x)) for x in codec.encode(many)] == [model.encode(x) for x in many]
+
+
 def test_a_word_of_any_length_is_encoded_in_windows(monkeypatch):
     import sentencepiece
 
