@@ -85,8 +85,8 @@ def transaction_flow(calls: DataFrame, cics: DataFrame, transactions: DataFrame)
     return rows.select("from_program", "to_program", "edge_type", F.coalesce("f", none).alias("from_transid"), F.coalesce("given", "t", none).alias("to_transid"), F.lit(None).cast("int").alias("commarea_size"), "paragraph", "line", "source_file")
 
 
-#: Classes that meet as many others in one task where they share an element; parts in which elements are numbered; tasks in
-#: which classes meet, at least; most frequent elements, which are bits of one number.
+#: Classes of a block, which meets another in one task where they share an element; parts in which elements are numbered;
+#: tasks in which classes meet, at least; most frequent elements, which are bits of one number.
 BLOCK, PARTS, TASKS, BITS = 1024, 1024, 64, 63
 
 
@@ -97,7 +97,8 @@ def jaccard_classes(rows: DataFrame, group: str, element: list[str], threshold:
     sorted numbers `s` of the others, which come first in the common order, rare ones before frequent ones. Classes meet only
     at an element that both have among their first ones: the smaller set, of n elements, up to n - ceil(2t / (1 + t) * n) + 1,
     the larger up to n - ceil(t * n) + 1, and count only at the first that they share, so each pair is found once. Classes of
-    a common element are dealt out as blocks. Where they meet, sizes, `m` and a hashed mask `h` of `s` rule out most pairs.
+    a common element are dealt out as blocks, each meets each. Where they meet, sizes, `m` and a hashed mask `h` of `s` rule
+    out most pairs.
     """
     items = rows.select(F.col(group).alias("g"), F.struct(*element).alias("e")).where("g IS NOT NULL").distinct()
     counts = items.groupBy("e").agg(F.count("*").alias("n"))
@@ -116,12 +117,13 @@ def jaccard_classes(rows: DataFrame, group: str, element: list[str], threshold:
     whole = reps.select("rep", "m", "s", hashed.alias("h"), ordered.alias("o")).withColumn("k", F.size("o"))
     heads = lambda least: whole.select("rep", "k", "m", "h", "s", F.explode(F.slice("o", F.lit(1), F.col("k") - F.ceil(least * F.col("k") - 1e-9).cast("int") + 1)).alias("x"))
     small, large = heads(2 * threshold / (1 + threshold)), heads(threshold)
-    blocks = F.broadcast(small.groupBy("x").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1"))
+    blocks = F.broadcast(large.groupBy("x").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).where("blocks > 1"))
     tasks = max(TASKS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    n = F.coalesce("blocks", F.lit(1))
+    n = F.coalesce("blocks", F.lit(1).cast("long"))
+    own = F.pmod(F.xxhash64("rep"), n)
+    met_by = lambda cell: F.explode(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), cell))
     side = lambda heads, p, block: heads.join(blocks, "x", "left").select("x", block.alias("block"), *(F.col(c).alias(c + p) for c in ("rep", *"kmhs"))).repartition(tasks, "x", "block")
-    # the block, which is held, stands to the right; every row of the larger sets is sent through it
-    met = side(large, "b", F.explode(F.sequence(F.lit(0), n - 1))).join(side(small, "a", F.pmod(F.xxhash64("rep"), n).cast("int")), ["x", "block"])
+    met = side(large, "b", met_by(lambda i: i * n + own)).join(side(small, "a", met_by(lambda i: own * n + i)), ["x", "block"])
     most = F.expr("bit_count(ma & mb) + least(size(sa) - bit_count(ha & ~hb), size(sb) - bit_count(hb & ~ha))")
     met = met.where("(ka < kb OR (ka = kb AND repa < repb))").where(F.col("kb") * threshold <= F.col("ka") + 1e-9)
     met = met.where(f"x >= {BITS} OR (ma & mb & (shiftleft(1L, cast(least(x, {BITS - 1}L) AS int)) - 1L)) = 0L")
