@@ -39,7 +39,7 @@ from lodestrata.llm.common import bound_batches, in_parts, text_or_empty
 MARK = "▁"
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Words and parts of words whose ids a worker keeps; characters joined to one text to be indexed, and to one to be cut.
-KEPT, KEPT_PARTS, JOINED, CUT = 200_000, 300_000, 400_000, 1_600_000
+KEPT, KEPT_PARTS, JOINED, CUT = 400_000, 300_000, 400_000, 1_600_000
 #: Words up to this many characters are relaxed together; longer ones, one by one with a heap, so many characters at a time.
 LONG, WINDOW = 64, 100_000
 #: Longer words are not kept for the next batch.
