@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -104,6 +105,22 @@ def single_threaded() -> None:
         os.environ.setdefault(key, "false" if key[0] == "T" else "1")
 
 
+def giving_back(rows: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`rows`, a map over a task's batches, after which the worker hands what it has freed back to the system: else it keeps
+    that while it waits for its next task, beside the JVM and the other workers."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+            if trim:
+                trim(0)
+
+    return run
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

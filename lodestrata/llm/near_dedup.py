@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import Scratch, bound_batches, dealt, in_parts, text_or_empty
+from lodestrata.llm.common import Scratch, bound_batches, dealt, giving_back, in_parts, text_or_empty
 
 #: Words in a shingle; links need 100 * intersection >= percent * union, PERCENT unless given; bands and registers in each.
 WORDS, PERCENT, BANDS, ROWS = 5, 85, 42, 6
@@ -153,7 +153,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 )
 
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return chosen.mapInArrow(rows, "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary")
+    return chosen.mapInArrow(giving_back(rows), "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary")
 
 
 def likely_from(percent: int) -> float:
@@ -195,7 +195,7 @@ def verify(pairs: DataFrame, texts: DataFrame, scratch: Scratch, percent: int =
                         found.append((a, b))
             yield _as_links(found)
 
-    return ordered.mapInArrow(test, "a long, b long")
+    return ordered.mapInArrow(giving_back(test), "a long, b long")
 
 
 def _as_links(found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -268,7 +268,7 @@ def _likeliest(pairs: DataFrame, classes: DataFrame, percent: int, scratch: Scra
             share = _likely(x, y)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(share)], names=["a", "b", "share"]).filter(pa.array(share >= likely, pa.bool_()))
 
-    near = both.mapInArrow(test, "a long, b long, share double")
+    near = both.mapInArrow(giving_back(test), "a long, b long, share double")
     return near.groupBy("a").agg(F.max_by("b", F.struct(F.col("share"), -F.col("b"))).alias("b"))
 
 

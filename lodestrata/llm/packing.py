@@ -25,15 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import Scratch, bound_batches, dealt, in_parts, single_threaded, text_or_empty
+from lodestrata.llm.common import Scratch, bound_batches, dealt, giving_back, in_parts, single_threaded, text_or_empty
 
 CAPACITY = 2048
 #: A bin with at most this much room is closed where it stands.
 SLACK = 16
 #: Pieces that are best-fitted together in a partition; nodes under one parent.
 CHUNK, FAN = 200_000, 8
-#: Pieces handed on together.
-PIECE_ROWS = 1024
+#: Pieces handed on together; bytes of texts that are encoded together, which takes some 25 times as many.
+PIECE_ROWS, PART_BYTES = 1024, 1 << 20
 #: Distinct words whose ids a worker keeps.
 WORDS = 400_000
 _BIN_BITS = 32
@@ -150,7 +150,7 @@ def tokenize(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer, end_id)
         try:
-            for batch in (part for whole in batches for part in in_parts(whole, 1, 4096)):
+            for batch in (part for whole in batches for part in in_parts(whole, 1, 4096, PART_BYTES)):
                 ids, counts = encoder.encode_batch(batch.column(1))
                 pieces = -(-counts // capacity)
                 of = np.repeat(np.arange(len(counts)), pieces)
@@ -167,7 +167,7 @@ def tokenize(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
         finally:
             encoder.forget()  # the worker goes on to other work; the next task meets other words anyway
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(giving_back(cut), PIECES)
 
 
 def best_fit(sizes: list[int], capacity: int) -> tuple[list[int], list[int], list[int]]:

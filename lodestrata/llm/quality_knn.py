@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestrata.llm.common import bound_batches, text_or_empty
+from lodestrata.llm.common import bound_batches, giving_back, text_or_empty
 
 #: Labelled rows of each label that are learned from at most; dimensions; voters; power of the similarity; features kept.
 PER_LABEL, DIMS, K, SHARPNESS, FEATURES = 2048, 32, 15, 16, 1024
@@ -156,4 +156,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
             texts = [x or "" for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(texts), pa.float64())], names=[*batch.schema.names, score_col])
 
-    return docs.mapInArrow(rows, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
+    return docs.mapInArrow(giving_back(rows), T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
